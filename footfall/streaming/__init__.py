@@ -1,0 +1,2 @@
+"""Empty on purpose: every job here is a daily batch, late rows are handled by
+``operators.clean.day_window``, and no operator keeps streaming state."""
