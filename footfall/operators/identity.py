@@ -18,7 +18,7 @@ The store has columns ``kind`` ('A' account, 'D' device, 'C' counter), ``k`` and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,27 +80,32 @@ def device_visits(
     return running_count(both, [device], [*order, account], F.col(account).isNotNull(), "visit_no")
 
 
-def visit_guids(
+def visit_starts(
     visits: DataFrame,
     store: DataFrame,
-    base: int,
     account: str = "filledAccount",
     device: str = "deviceId",
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
-    """One row per (device, visit): its guid, and the account that closed it (null while it is open)."""
+    """One row per (device, visit): event order of its first row, the account that closed it (null while
+    it is open) and, for a first visit, the guid stored for the device."""
     per_visit = visits.groupBy(device, "visit_no").agg(
         F.min(F.struct(*order)).alias("_at"), F.max(account).alias("bound_account")
     )
-    stored = _keys(store, DEVICE, device, "_stored").withColumn("visit_no", F.lit(0).cast("bigint"))
-    known = per_visit.join(stored, [device, "visit_no"], "left").select(
-        device, "visit_no", "bound_account", "_stored", *(f"_at.{c}" for c in order)
-    )
-    numbered = dense_numbers(
-        known, [*order, device], "_number", F.lit(base).cast("bigint"), flag=F.col("_stored").isNull()
+    stored = _keys(store, DEVICE, device, "stored_guid").withColumn("visit_no", F.lit(0).cast("bigint"))
+    return per_visit.join(stored, [device, "visit_no"], "left").select(
+        device, "visit_no", "bound_account", "stored_guid", *(f"_at.{c}" for c in order)
     )
+
+
+def visit_guids(
+    starts: DataFrame, base: int, device: str = "deviceId", order: Sequence[str] = ORDER
+) -> DataFrame:
+    """One row per (device, visit) with its guid: the stored one, else the next number after ``base``."""
+    fresh = F.col("stored_guid").isNull()
+    numbered = dense_numbers(starts, [*order, device], "_number", F.lit(base).cast("bigint"), flag=fresh)
     return numbered.select(
-        device, "visit_no", "bound_account", F.coalesce("_stored", "_number").alias("guid")
+        device, "visit_no", "bound_account", F.coalesce("stored_guid", "_number").alias("guid")
     )
 
 
@@ -157,3 +162,24 @@ def next_store(store: DataFrame, visit_ids: DataFrame, base: int, device: str =
         F.lit(COUNTER).alias("kind"), F.lit(COUNTER_KEY).alias("k"), "guid"
     )
     return accounts.unionByName(still_open).unionByName(untouched).unionByName(counter)
+
+
+def resolve(
+    events: DataFrame,
+    store: DataFrame,
+    base: int,
+    stage: Callable[[DataFrame, str], DataFrame],
+    account: str = "filledAccount",
+    device: str = "deviceId",
+    order: Sequence[str] = ORDER,
+) -> tuple[DataFrame, DataFrame]:
+    """``events`` with ``guid`` and ``isnew``, and the next store.
+
+    Pass narrow events, read from a table.  ``stage`` writes the visits and their guids, which several
+    later steps read; each is narrower or shorter than the one before.
+    """
+    visits = stage(device_visits(events, store, account, device, order), "visits")
+    starts = stage(visit_starts(visits, store, account, device, order), "visit_starts")
+    ids = stage(visit_guids(starts, base, device, order), "visit_guids")
+    rows = mark_new_visitors(assign_guids(events, visits, ids, store, account, device), base)
+    return rows, next_store(store, ids, base, device)

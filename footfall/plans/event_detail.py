@@ -45,22 +45,19 @@ def build(
 
     ``row_id`` is unique per row and breaks ties in time.  Session, account and guid are worked out on
     five narrow columns; the wide rows are shuffled once, by row id, to take the results over.  ``stage``
-    writes the three narrow results that several later steps read.
+    writes the narrow results that several later steps read.
     """
     clean = to_detail(day_window(required_fields(log), from_day, to_day, zone=zone), keep=(row_id, *keep))
     keys = split_sessions(clean.select(row_id, *_KEY_COLUMNS))
     keys = stage(fill_accounts(keys, inputs.scores).drop("sessionId", "account"), "keys")
 
-    order = ("timeStamp", row_id)
-    visits = stage(identity.device_visits(keys, inputs.store, order=order), "visits")
-    visit_ids = stage(identity.visit_guids(visits, inputs.store, inputs.base, order=order), "visit_ids")
-    resolved = identity.mark_new_visitors(
-        identity.assign_guids(keys, visits, visit_ids, inputs.store), inputs.base
-    ).select(row_id, "splitedSessionId", "filledAccount", "guid", "isnew")
+    resolved, store = identity.resolve(
+        keys, inputs.store, inputs.base, stage, order=("timeStamp", row_id)
+    )
+    resolved = resolved.select(row_id, "splitedSessionId", "filledAccount", "guid", "isnew")
 
     located = locate_events(clean, inputs.dictionary, inputs.ip_ranges)
     detail = located.drop("splitedSessionId", "filledAccount", "guid", "isnew").join(resolved, row_id)
-    store = identity.next_store(inputs.store, visit_ids, inputs.base)
     return detail.select(*DETAIL_COLUMNS, *keep), store
 
 

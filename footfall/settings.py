@@ -5,8 +5,8 @@ SPARK_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # No operator hints a broadcast; Spark does it when its own size estimate is below this bound
-    # (area dictionaries and IP tables are tens of MB) and falls back to a sort-merge join above it.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # (area dictionaries and IP tables are some tens of MB) and falls back to a sort-merge join above it.
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
     # Names such as deviceId / deviceid are the same column.
     "spark.sql.caseSensitive": "false",
     # Rewriting one day must not touch the other days.

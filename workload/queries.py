@@ -142,31 +142,26 @@ def filled_accounts(spark, sf_dir):
 # --- identity -------------------------------------------------------------------------------------
 
 
-def _identity(spark, sf_dir):
+def _resolved(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Complete rows whose own account is the only one known, so that a third stays anonymous."""
+    stage = Staging(spark)
     log = clean.blank_account_to_null(clean_log(spark, sf_dir))
     rows = log.select("event_id", "timeStamp", "deviceId", F.col("account").alias("filledAccount"))
-    store = d.guid_store(spark, sf_dir)
-    visits = identity.device_visits(rows, store)
-    return rows, store, visits, identity.visit_guids(visits, store, d.GUID_BASE)
+    return identity.resolve(stage(rows, "keys"), d.guid_store(spark, sf_dir), d.GUID_BASE, stage)
 
 
 def assigned_guids(spark, sf_dir):
-    rows, store, visits, ids = _identity(spark, sf_dir)
-    return identity.assign_guids(rows, visits, ids, store).select("event_id", "deviceId", "filledAccount", "guid")
+    return _resolved(spark, sf_dir)[0].select("event_id", "deviceId", "filledAccount", "guid")
 
 
 def new_visitors(spark, sf_dir):
-    rows, store, visits, ids = _identity(spark, sf_dir)
-    marked = identity.mark_new_visitors(identity.assign_guids(rows, visits, ids, store), d.GUID_BASE)
-    return marked.groupBy("isnew").agg(
+    return _resolved(spark, sf_dir)[0].groupBy("isnew").agg(
         F.count("*").alias("n_events"), F.count_distinct("guid").alias("n_visitors")
     )
 
 
 def next_guid_store(spark, sf_dir):
-    _, store, _, ids = _identity(spark, sf_dir)
-    return identity.next_store(store, ids, d.GUID_BASE)
+    return _resolved(spark, sf_dir)[1]
 
 
 def dense_numbers(spark, sf_dir):
