@@ -1,0 +1,91 @@
+import random
+
+from pyspark.sql import functions as F
+
+from footfall.operators.area import area_dictionary, flatten_areas, locate_by_ip, locate_events, unique_geohashes
+from helpers import plan, rows
+
+AREAS = [
+    (1, None, 1, "P1", None, None), (2, 1, 2, "C1", None, None), (3, 2, 3, "R1", None, None),
+    (4, 3, 4, "street", 40.18365597944445, 95.11045987748628), (5, 3, 4, "lane", 0.0, 0.0),
+    (6, 99, 4, "orphan", 1.0, 1.0),
+]
+AREA_SCHEMA = "id bigint, parentid bigint, level int, areaname string, bd09_lat double, bd09_lng double"
+IP_SCHEMA = "lo bigint, hi bigint, region string"
+
+
+def ip(text):
+    a, b, c, d = map(int, text.split("."))
+    return ((a * 256 + b) * 256 + c) * 256 + d
+
+
+def test_flatten(spark):
+    areas = spark.createDataFrame(AREAS, AREA_SCHEMA)
+    assert rows(flatten_areas(areas), "id", "province", "city", "region") == [(4, "P1", "C1", "R1"), (5, "P1", "C1", "R1")]
+    assert rows(area_dictionary(areas)) == [("s00000", "P1", "C1", "R1"), ("wp5ss7", "P1", "C1", "R1")]
+
+
+def test_one_area_per_valid_geohash(spark):
+    data = [("g", "p2", "c", "r"), ("g", "p1", "z", "r"), ("", "p", "c", "r"), (None, "p", "c", "r"), ("h", None, "c", None)]
+    got = unique_geohashes(spark.createDataFrame(data, "geohash string, province string, city string, region string"))
+    assert rows(got.select("geohash", "area.*")) == [("g", "p1", "z", "r"), ("h", None, "c", None)]
+
+
+def test_position_first_then_ip_else_nothing(spark):
+    dictionary = spark.createDataFrame(
+        [("s00000", "P0", "C0", "R0"), ("wp5ss7", None, None, "R1")],
+        "geohash string, province string, city string, region string",
+    )
+    ranges = spark.createDataFrame(
+        [
+            (ip("1.0.0.0"), ip("1.255.255.255"), "X|0|PW|CW|isp"),
+            (ip("2.0.0.0"), ip("2.0.255.255"), "X|0|PM|CM|isp"),
+            (ip("2.1.0.7"), ip("2.1.0.9"), "X|0|PN|CN|isp"),
+            (ip("3.0.0.0"), ip("3.0.0.255"), "X|0|P|C|"),
+            (ip("3.0.1.0"), ip("3.0.1.255"), "X|0| |C|isp"),
+            (ip("3.0.2.0"), ip("3.0.2.255"), "X|0|P||isp"),
+            (ip("3.0.3.0"), ip("3.0.3.255"), "X|0|P|C"),
+            (ip("3.0.4.0"), ip("3.0.4.255"), "X|0|P|C||last"),
+        ],
+        IP_SCHEMA,
+    )
+    log = spark.createDataFrame(
+        [
+            (1, 0.0, 0.0, "1.2.3.4"), (2, 40.18365597944445, 95.11045987748628, "1.2.3.4"),
+            (3, 50.0, 50.0, "1.2.3.4"), (4, None, None, "2.0.9.9"), (5, 95.0, 0.0, "2.1.0.7"), (6, None, 0.0, "2.1.0.10"),
+            (7, None, None, "nonsense"), (8, None, None, None), (9, None, None, "3.0.0.1"), (10, None, None, "3.0.1.1"),
+            (11, None, None, "3.0.2.1"), (12, None, None, "3.0.3.1"), (13, None, None, "3.0.4.1"), (14, None, None, "9.9.9.9"),
+        ],
+        "i int, latitude double, longitude double, ip string",
+    )
+    got = {r["i"]: (r["province"], r["city"], r["region"]) for r in locate_events(log, dictionary, ranges).collect()}
+    nothing = (None, None, None)
+    assert got == {
+        1: ("P0", "C0", "R0"), 2: (None, None, "R1"), 3: ("PW", "CW", None), 4: ("PM", "CM", None), 5: ("PN", "CN", None),
+        6: nothing, 7: nothing, 8: nothing, 9: nothing, 10: nothing, 11: nothing, 12: nothing, 13: ("P", "C", None), 14: nothing,
+    }
+
+
+def test_ip_ranges_of_all_widths_against_a_scan(spark):
+    rng = random.Random(3)
+    ranges, lo = [], 0
+    while lo < 2**32:
+        hi = min(lo + rng.choice([0, 3, 255, 4095, 4096, 70_000, 2**20 - 1, 2**20, 2**25]) + rng.randrange(3), 2**32 - 1)
+        if rng.random() < 0.8:
+            ranges.append((lo, hi, f"r{len(ranges)}"))
+        lo = hi + 1
+    edges = [v for lo, hi, _ in rng.sample(ranges, 60) for v in (lo, hi, lo - 1, hi + 1)]
+    numbers = [v for v in edges if 0 <= v < 2**32] + [rng.randrange(2**32) for _ in range(200)] + [None]
+    log = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    got = locate_by_ip(log, spark.createDataFrame(ranges, IP_SCHEMA), "n").collect()
+    assert len(got) == len(numbers)
+    for n, region in got:
+        expected = [name for lo, hi, name in ranges if n is not None and lo <= n <= hi]
+        assert [region] == (expected or [None])
+
+
+def test_range_join_is_an_equi_join(spark):
+    log = spark.range(10).withColumnRenamed("id", "n")
+    ranges = spark.range(10).select(F.col("id").alias("lo"), F.col("id").alias("hi"), F.lit("r").alias("region"))
+    text = plan(locate_by_ip(log, ranges, "n"))
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
