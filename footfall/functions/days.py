@@ -32,8 +32,5 @@ def day_start_ms(day: Column | str, zone: str = "UTC") -> Column:
 
     With a literal day it folds to a constant, so a range test on a timestamp column reaches the scan.
     """
-    date = _as_date(day)
-    zero = F.lit(0)
-    return F.unix_millis(
-        F.make_timestamp_ltz(F.year(date), F.month(date), F.day(date), zero, zero, zero, F.lit(zone))
-    )
+    midnight = F.concat(_as_date(day).cast("string"), F.lit(f" 00:00:00 {zone}"))
+    return F.unix_millis(midnight.cast("timestamp"))

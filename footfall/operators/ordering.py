@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CELL_MS = 10_000
+CELL_MS = 30_000
 _CELL = "_cell"
 _LOCAL = "_local"
 _EARLIER = "_earlier"

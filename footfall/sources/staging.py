@@ -39,4 +39,4 @@ class Staging:
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self.location(name))
-        return self.spark.read.parquet(self.location(name))
+        return self.spark.read.schema(df.schema).parquet(self.location(name))
