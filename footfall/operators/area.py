@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import geohash6, ipv4_to_long, is_not_blank
@@ -12,6 +12,9 @@ from footfall.functions import geohash6, ipv4_to_long, is_not_blank
 _TIER_SHIFTS = (8, 16, 24)
 _BUCKETS_PER_RANGE = 16
 
+# Lookup rows that may be broadcast: about 100 bytes each, so some 200 MB at most.
+MAX_BROADCAST_ROWS = 2_000_000
+
 # Fixed value: country|zone|province|city|isp, with something after the fourth bar.
 REGION_PATTERN = r"(?s)^([^|]*\|){4}.*[^|]"
 
@@ -50,38 +53,66 @@ def unique_geohashes(dictionary: DataFrame) -> DataFrame:
     )
 
 
+def _tiers() -> list[tuple[int, Column]]:
+    """Bucket shift and range test of each tier."""
+    width = F.col("hi") - F.col("lo")
+    narrow, middle = (2**shift * _BUCKETS_PER_RANGE for shift in _TIER_SHIFTS[:-1])
+    tests = (width < narrow, (width >= narrow) & (width < middle), width >= middle)
+    return list(zip(_TIER_SHIFTS, tests, strict=True))
+
+
+def fits_broadcast(dictionary: DataFrame, ranges: DataFrame, limit: int | None = None) -> bool:
+    """Whether both lookup tables, the ranges counted by their buckets, stay below the broadcast bound.
+
+    Two counts over the lookup tables; the log is not touched.
+    """
+    limit = MAX_BROADCAST_ROWS if limit is None else limit
+    buckets = F.lit(None)
+    for shift, test in reversed(_tiers()):
+        buckets = F.when(test, F.shiftright("hi", shift) - F.shiftright("lo", shift) + 1).otherwise(buckets)
+    n_buckets = ranges.agg(F.coalesce(F.sum(buckets), F.lit(0))).first()[0]
+    return n_buckets + dictionary.count() <= limit
+
+
+def _lookup(side: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(side) if small else side
+
+
 def locate_by_position(
     log: DataFrame,
     dictionary: DataFrame,
     latitude: str = "latitude",
     longitude: str = "longitude",
     out: str = "gps_area",
+    small: bool = False,
 ) -> DataFrame:
-    """Add ``out``: the area struct of the event's geohash, null when the cell is not in the dictionary."""
+    """Add ``out``: the area struct of the event's geohash, null when the cell is not in the dictionary.
+
+    ``small=True``, after :func:`fits_broadcast`, keeps the log where it is; otherwise Spark chooses.
+    """
     places = unique_geohashes(dictionary).select(
         F.col("geohash").alias("_geohash"), F.col("area").alias(out)
     )
     return (
         log.withColumn("_cell", geohash6(latitude, longitude))
-        .join(places, F.col("_cell") == F.col("_geohash"), "left")
+        .join(_lookup(places, small), F.col("_cell") == F.col("_geohash"), "left")
         .drop("_cell", "_geohash")
     )
 
 
-def locate_by_ip(log: DataFrame, ranges: DataFrame, ip_number: str, out: str = "ip_region") -> DataFrame:
+def locate_by_ip(
+    log: DataFrame, ranges: DataFrame, ip_number: str, out: str = "ip_region", small: bool = False
+) -> DataFrame:
     """Add ``out``: region text of the range ``[lo, hi]`` that holds the address number.
 
     The ranges must not overlap.  A range join is turned into equi-joins on address buckets; the bucket
     width follows the width of the range, in three tiers.  So a range is repeated 17 times at most (256
     for those of 2^20 addresses and more, of which there are at most 4,096), and an address meets at
-    most 256 narrow, 18 middle and 18 wide ranges.
+    most 256 narrow, 18 middle and 18 wide ranges.  ``small`` is as in :func:`locate_by_position`.
     """
-    width = F.col("hi") - F.col("lo")
-    limits = [2**shift * _BUCKETS_PER_RANGE for shift in _TIER_SHIFTS[:-1]]
-    tiers = [width < limits[0], (width >= limits[0]) & (width < limits[1]), width >= limits[1]]
     address = F.col(ip_number)
     found = []
-    for shift, tier in zip(_TIER_SHIFTS, tiers, strict=True):
+    for shift, tier in _tiers():
         lo, hi, bucket, region = f"_lo{shift}", f"_hi{shift}", f"_bucket{shift}", f"_region{shift}"
         side = ranges.where(tier).select(
             F.col("lo").alias(lo),
@@ -90,7 +121,7 @@ def locate_by_ip(log: DataFrame, ranges: DataFrame, ip_number: str, out: str = "
             F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift))).alias(bucket),
         )
         same = (F.shiftright(address, shift) == F.col(bucket)) & address.between(F.col(lo), F.col(hi))
-        log = log.join(side, same, "left").drop(lo, hi, bucket)
+        log = log.join(_lookup(side, small), same, "left").drop(lo, hi, bucket)
         found.append(region)
     return log.withColumn(out, F.coalesce(*found)).drop(*found)
 
@@ -102,15 +133,18 @@ def locate_events(
     latitude: str = "latitude",
     longitude: str = "longitude",
     ip: str = "ip",
+    small: bool = False,
 ) -> DataFrame:
     """Add province, city and region: from the position when its cell is known, else from the IP.
 
     The IP gives province and city, when its region text has five parts and both are not blank; the
-    region stays null.  A located row does not look for its IP.
+    region stays null.  A located row does not look for its IP.  ``small`` is as in
+    :func:`locate_by_position`.
     """
-    placed = locate_by_position(log.drop("province", "city", "region"), dictionary, latitude, longitude)
+    bare = log.drop("province", "city", "region")
+    placed = locate_by_position(bare, dictionary, latitude, longitude, small=small)
     numbered = placed.withColumn("_ip", F.when(F.col("gps_area").isNull(), ipv4_to_long(ip)))
-    looked_up = locate_by_ip(numbered, ranges, "_ip")
+    looked_up = locate_by_ip(numbered, ranges, "_ip", small=small)
     parts = F.split("ip_region", r"\|")
     usable = (
         F.col("gps_area").isNull()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators import identity
-from footfall.operators.area import locate_events
+from footfall.operators.area import fits_broadcast, locate_events
 from footfall.operators.binding import fill_accounts
 from footfall.operators.clean import day_window, required_fields
 from footfall.operators.detail import DETAIL_COLUMNS, to_detail
@@ -46,6 +46,10 @@ def build(
     ``row_id`` is unique per row and breaks ties in time.  Session, account and guid are worked out on
     five narrow columns; the wide rows are shuffled once, by row id, to take the results over.  ``stage``
     writes the narrow results that several later steps read.
+
+    Areas are looked up on the wide rows while the lookup tables fit a broadcast, which moves no row.
+    Beyond that bound the lookups shuffle, so they run on position and address alone and come back by
+    row id, like the rest.
     """
     clean = to_detail(day_window(required_fields(log), from_day, to_day, zone=zone), keep=(row_id, *keep))
     keys = split_sessions(clean.select(row_id, *_KEY_COLUMNS))
@@ -56,8 +60,17 @@ def build(
     )
     resolved = resolved.select(row_id, "splitedSessionId", "filledAccount", "guid", "isnew")
 
-    located = locate_events(clean, inputs.dictionary, inputs.ip_ranges)
-    detail = located.drop("splitedSessionId", "filledAccount", "guid", "isnew").join(resolved, row_id)
+    wide = clean.drop("splitedSessionId", "filledAccount", "guid", "isnew")
+    if fits_broadcast(inputs.dictionary, inputs.ip_ranges):
+        wide = locate_events(wide, inputs.dictionary, inputs.ip_ranges, small=True)
+    else:
+        places = locate_events(
+            clean.select(row_id, "latitude", "longitude", "ip"), inputs.dictionary, inputs.ip_ranges
+        )
+        wide = wide.drop("province", "city", "region").join(
+            places.select(row_id, "province", "city", "region"), row_id
+        )
+    detail = wide.join(resolved, row_id)
     return detail.select(*DETAIL_COLUMNS, *keep), store
 
 

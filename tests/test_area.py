@@ -2,7 +2,14 @@ import random
 
 from pyspark.sql import functions as F
 
-from footfall.operators.area import area_dictionary, flatten_areas, locate_by_ip, locate_events, unique_geohashes
+from footfall.operators.area import (
+    area_dictionary,
+    fits_broadcast,
+    flatten_areas,
+    locate_by_ip,
+    locate_events,
+    unique_geohashes,
+)
 from helpers import plan, rows
 
 AREAS = [
@@ -89,3 +96,12 @@ def test_range_join_is_an_equi_join(spark):
     ranges = spark.range(10).select(F.col("id").alias("lo"), F.col("id").alias("hi"), F.lit("r").alias("region"))
     text = plan(locate_by_ip(log, ranges, "n"))
     assert "NestedLoop" not in text and "CartesianProduct" not in text
+
+
+def test_broadcast_bound_counts_the_buckets(spark):
+    dictionary = spark.createDataFrame([("g", "p", "c", "r")], "geohash string, province string, city string, region string")
+    ranges = spark.createDataFrame([(0, 255, "one"), (250, 300, "two"), (0, 2**24 + 1, "two"), (0, 2**16, "two")], IP_SCHEMA)
+    assert fits_broadcast(dictionary, ranges, 8) and not fits_broadcast(dictionary, ranges, 7)
+    assert fits_broadcast(dictionary.limit(0), ranges.limit(0), 0)
+    log = spark.range(10).selectExpr("id as i", "id * 1D as latitude", "id * 2D as longitude", "concat('1.1.1.', id) as ip")
+    assert plan(locate_events(log, dictionary, ranges, small=True)).count("BroadcastHashJoin LeftOuter") == 4

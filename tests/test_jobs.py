@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from footfall.operators import area
 from footfall.operators.detail import DETAIL_COLUMNS
 from footfall.operators.identity import STORE_SCHEMA
 from footfall.plans import area_dictionary, coupon_attribution, device_binding, event_detail
@@ -124,6 +125,19 @@ def test_log_without_row_id_and_other_days(spark, warehouse):
         run_detail(spark, root, "2021-02-01", "store-0", "store-0")
 
 
+def test_large_lookup_tables_give_the_same_rows(spark, warehouse, monkeypatch):
+    options = {"row_id": "event_id", "bind_day": "2021-01-31"}
+    small = comparable(run_detail(spark, warehouse, "2021-02-01", "store-0", "store-l", out="small", **options))
+    monkeypatch.setattr(area, "MAX_BROADCAST_ROWS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = comparable(run_detail(spark, warehouse, "2021-02-01", "store-0", "store-l", out="large", **options))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert small == large and len(small) > 100
+
+
 def test_append_adds_a_second_copy(spark, warehouse):
     root = warehouse
     for _ in range(2):
