@@ -23,6 +23,16 @@ def build(
     return op.linear_weights(segments, target, user=user, converted_only=converted_only)
 
 
-def run(spark: SparkSession, detail: str, weights: str, day: str, **options) -> None:
+def run(
+    spark: SparkSession,
+    detail: str,
+    weights: str,
+    day: str,
+    target: str = op.TARGET,
+    touchpoints: Sequence[str] = op.TOUCHPOINTS,
+    user: str = "guid",
+    converted_only: bool = False,
+) -> None:
     """Overwrite day ``day`` of the weight table from that day of the detail table."""
-    overwrite_days(build(read_days(spark, detail, day), **options).withColumn("dt", F.lit(day)), weights)
+    found = build(read_days(spark, detail, day), target, touchpoints, user, converted_only)
+    overwrite_days(found.withColumn("dt", F.lit(day)), weights)

@@ -259,5 +259,16 @@ def build() -> dict[str, str]:
         ),
         "detail_job_store": with_ctes("select kind, k, guid from g_store", filled),
         "attribution_job": with_ctes(f"select *, '{FIRST_DAY}' dt from ({WEIGHTS}) w", SEGMENTS),
-        "cube_job": with_ctes(cube_sql("devicetype, isnew"), CUBE),
+        "cube_job": with_ctes(
+            cube_sql("devicetype, isnew").replace("isnew, count", "cast(isnew as integer) isnew, count"), CUBE
+        ),
+        "ordered_events": with_ctes(
+            """select user_id guid, row_number() over (partition by user_id order by "timeStamp", "eventId" nulls first, event_id) "position",
+            "timeStamp", event_id from event_log"""
+        ),
+        "sql_functions": with_ctes(
+            """select "deviceId", trim("deviceId") <> '' has_device, count(distinct geohash) n_cells, count(*) n_events
+            from event_log l join event_hash h on l.event_id = h.event_id group by 1, 2"""
+        ),
+        "sql_cube": with_ctes(cube_sql("province"), CUBE),
     }

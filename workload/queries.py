@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall import functions as fn
 from footfall.functions.days import current_day
+from footfall.functions.sql import register_sql_functions
 from footfall.operators import area, attribution, binding, clean, detail, identity, ordering, protect, sessions, visitors
 from footfall.plans import area_dictionary, column_protection, coupon_attribution, device_binding, event_detail, visitor_cube
 from footfall.sources import Staging, append_days, overwrite_days, read_days, read_table, replace_table
@@ -176,6 +177,11 @@ def _segments(spark, sf_dir) -> DataFrame:
     return attribution.event_segments(d.attribution_events(spark, sf_dir), TARGET, TOUCHPOINTS, tie=("event_id",))
 
 
+def ordered_events(spark, sf_dir):
+    placed = attribution.ordered_events(d.attribution_events(spark, sf_dir), tie=("event_id",))
+    return placed.select("guid", "position", "timeStamp", "event_id")
+
+
 def event_lists(spark, sf_dir):
     lists = attribution.event_lists(d.attribution_events(spark, sf_dir), part_size=50)
     return lists.select("guid", "part", F.array_join("events", ",").alias("events"))
@@ -346,11 +352,41 @@ def attribution_job(spark, sf_dir):
 
 
 def cube_job(spark, sf_dir):
-    """Base cuboid stored once, reported by device type and new-visitor flag from storage."""
-    stored = Staging(spark)(_cuboid(spark, sf_dir), "cuboid")
+    """Page views written as CSV, their base cuboid stored once, and a report from storage."""
+    stage = Staging(spark)
+    views = d.cube_events(spark, sf_dir).selectExpr(
+        "cast(guid as int) as guid", "'' as ip", "'' as sesid", "'' as pgid", "'' as jpout",
+        "cast(acc_tml as int) as acc_tml", "devicetype as deviceType", "cast(province as string) as province",
+        "cast(isnew as int) as isnew",
+    )
+    views.write.csv(stage.location("views"), header=True)
+    stored = visitor_cube.run(spark, stage.location("views"), stage.location("cuboid"))
     return visitor_cube.report(stored, ["devicetype", "isnew"])
 
 
+def sql_functions(spark, sf_dir):
+    """The functions a SQL text calls by name."""
+    register_sql_functions(spark)
+    return spark.sql(
+        """select deviceId, isNotBlank(deviceId) as has_device, count(distinct geo(latitude, longitude)) as n_cells,
+                  count(distinct event_id) as n_events
+           from {log} group by deviceId""",
+        log=d.event_log(spark, sf_dir),
+    )
+
+
+def sql_cube(spark, sf_dir):
+    """A roll-up written as SQL over the stored bitmaps."""
+    register_sql_functions(spark)
+    return spark.sql(
+        """select province, sum(getCnt(bm)) as uv, sum(acc_tml) as acc_tml
+           from (select province, bucket, bitmap_or_agg(uv_bitmap) as bm, sum(acc_tml) as acc_tml
+                 from {cuboid} group by province, bucket)
+           group by province""",
+        cuboid=_cuboid(spark, sf_dir),
+    )
+
+
 ALL: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -363,6 +399,6 @@ ALL: dict[str, Query] = {
         visitor_bitmaps, united_bitmaps, bitmap_cardinality, base_cuboid, cube_rollup, cube_rollup_twice,
         encrypted_column, decrypted_column, protection_job,
         overwritten_days, appended_days, area_job, binding_job, detail_job, detail_job_store,
-        attribution_job, cube_job,
+        attribution_job, cube_job, ordered_events, sql_functions, sql_cube,
     )
 }
