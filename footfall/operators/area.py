@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import geohash6, ipv4_to_long, is_not_blank
+from footfall.operators.lookup import look_up
 
 # An IP range is looked up in buckets of 2^shift addresses; it takes the first shift whose bucket is at
 # least a sixteenth of the range, so a range covers at most 17 buckets (256 for the widest).
@@ -90,14 +91,9 @@ def locate_by_position(
 
     ``small=True``, after :func:`fits_broadcast`, keeps the log where it is; otherwise Spark chooses.
     """
-    places = unique_geohashes(dictionary).select(
-        F.col("geohash").alias("_geohash"), F.col("area").alias(out)
-    )
-    return (
-        log.withColumn("_cell", geohash6(latitude, longitude))
-        .join(_lookup(places, small), F.col("_cell") == F.col("_geohash"), "left")
-        .drop("_cell", "_geohash")
-    )
+    places = unique_geohashes(dictionary).withColumnsRenamed({"geohash": "_geohash", "area": out})
+    cells = log.withColumn("_geohash", geohash6(latitude, longitude))
+    return look_up(cells, _lookup(places, small), ["_geohash"]).drop("_geohash")
 
 
 def locate_by_ip(

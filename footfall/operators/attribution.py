@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.lookup import look_up
 from footfall.operators.ordering import row_positions, running_count
 
 # The coupon attribution job's events and the labels in its result table.
@@ -84,7 +85,7 @@ def linear_weights(
     )
     if converted_only:
         sizes = sizes.where("_targets > 0")
-    return touches.join(sizes, [user, "segment"]).select(
+    return look_up(touches, sizes, [user, "segment"], "inner").select(
         F.lit(model).alias("model"),
         F.lit(strategy).alias("strategy"),
         user,

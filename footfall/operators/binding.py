@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions import blank_to_null
+from footfall.operators.lookup import look_up
 
 POINTS_PER_SESSION = 100
 DECAY = "0.6"
@@ -87,12 +88,6 @@ def best_accounts(scores: DataFrame) -> DataFrame:
 
 def fill_accounts(log: DataFrame, scores: DataFrame, out: str = "filledAccount") -> DataFrame:
     """Add ``out``: the row's own account, else the best account of its device."""
-    best = best_accounts(scores).select(
-        F.col("deviceid").alias("_device"), F.col("account").alias("_best_account")
-    )
-    return (
-        log.drop(out)
-        .join(best, F.col("deviceId") == F.col("_device"), "left")
-        .withColumn(out, F.coalesce("account", "_best_account"))
-        .drop("_device", "_best_account")
-    )
+    best = best_accounts(scores).withColumnRenamed("account", "_best_account")
+    filled = look_up(log.drop(out), best, ["deviceid"])
+    return filled.withColumn(out, F.coalesce("account", "_best_account")).drop("_best_account")

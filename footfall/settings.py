@@ -4,6 +4,8 @@ SPARK_CONF = {
     # Re-plan joins, coalesce small partitions and split skewed join partitions at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sizes are compressed and the rows of a hot key compress well, so split earlier than the default 256 MB.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     # No operator hints a broadcast; Spark does it when its own size estimate is below this bound
     # (area dictionaries and IP tables are some tens of MB) and falls back to a sort-merge join above it.
     "spark.sql.autoBroadcastJoinThreshold": "32m",

@@ -10,6 +10,7 @@ import argparse
 import inspect
 from collections.abc import Callable, Sequence
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from footfall.plans import (
@@ -58,9 +59,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if key_file:
         with open(key_file) as file:
             options["key"] = file.read().strip()
-    builder = SparkSession.builder.appName(f"footfall {job}")
+    builder, submitted = SparkSession.builder.appName(f"footfall {job}"), SparkConf()
     for key, value in SPARK_CONF.items():
-        builder = builder.config(key, value)
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     JOBS[job]((builder.enableHiveSupport() if hive else builder).getOrCreate(), **options)
 
 
