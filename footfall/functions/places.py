@@ -60,6 +60,8 @@ def geohash6(latitude: str, longitude: str) -> Column:
 def ipv4_to_long(ip: Column | str) -> Column:
     """Dotted quad to a 32-bit number held in a bigint; null for anything else."""
     ip = F.col(ip) if isinstance(ip, str) else ip
-    octets = [F.split_part(ip, F.lit("."), F.lit(i)).try_cast("bigint") for i in range(1, 5)]
+    octets = [
+        F.substring_index(F.substring_index(ip, ".", i), ".", -1).try_cast("bigint") for i in range(1, 5)
+    ]
     value = octets[0] * 2**24 + octets[1] * 2**16 + octets[2] * 2**8 + octets[3]
     return F.when(ip.rlike(IPV4_PATTERN), value)

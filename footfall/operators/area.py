@@ -96,10 +96,26 @@ def locate_by_position(
     return look_up(cells, _lookup(places, small), ["_geohash"]).drop("_geohash")
 
 
+def ip_areas(ranges: DataFrame) -> DataFrame:
+    """The ranges with their ``area``: province and city from a region text of five parts, both not blank.
+
+    Other texts give a null area.  Parsing the ranges spares parsing the text once per event.
+    """
+    parts = F.split("region", r"\|")
+    usable = F.col("region").rlike(REGION_PATTERN) & is_not_blank(parts[2]) & is_not_blank(parts[3])
+    area = F.when(usable, F.struct(parts[2].alias("province"), parts[3].alias("city")))
+    return ranges.select("lo", "hi", area.alias("area"))
+
+
 def locate_by_ip(
-    log: DataFrame, ranges: DataFrame, ip_number: str, out: str = "ip_region", small: bool = False
+    log: DataFrame,
+    ranges: DataFrame,
+    ip_number: str,
+    out: str = "ip_region",
+    value: str = "region",
+    small: bool = False,
 ) -> DataFrame:
-    """Add ``out``: region text of the range ``[lo, hi]`` that holds the address number.
+    """Add ``out``: the ``value`` of the range ``[lo, hi]`` that holds the address number.
 
     The ranges must not overlap.  A range join is turned into equi-joins on address buckets; the bucket
     width follows the width of the range, in three tiers.  So a range is repeated 17 times at most (256
@@ -113,7 +129,7 @@ def locate_by_ip(
         side = ranges.where(tier).select(
             F.col("lo").alias(lo),
             F.col("hi").alias(hi),
-            F.col("region").alias(region),
+            F.col(value).alias(region),
             F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift))).alias(bucket),
         )
         same = (F.shiftright(address, shift) == F.col(bucket)) & address.between(F.col(lo), F.col(hi))
@@ -140,18 +156,12 @@ def locate_events(
     bare = log.drop("province", "city", "region")
     placed = locate_by_position(bare, dictionary, latitude, longitude, small=small)
     numbered = placed.withColumn("_ip", F.when(F.col("gps_area").isNull(), ipv4_to_long(ip)))
-    looked_up = locate_by_ip(numbered, ranges, "_ip", small=small)
-    parts = F.split("ip_region", r"\|")
-    usable = (
-        F.col("gps_area").isNull()
-        & F.col("ip_region").rlike(REGION_PATTERN)
-        & is_not_blank(parts[2])
-        & is_not_blank(parts[3])
-    )
+    looked_up = locate_by_ip(numbered, ip_areas(ranges), "_ip", "ip_area", "area", small)
+    by_position = F.col("gps_area").isNotNull()
     return looked_up.withColumns(
         {
-            "province": F.coalesce("gps_area.province", F.when(usable, parts[2])),
-            "city": F.coalesce("gps_area.city", F.when(usable, parts[3])),
+            "province": F.when(by_position, F.col("gps_area.province")).otherwise(F.col("ip_area.province")),
+            "city": F.when(by_position, F.col("gps_area.city")).otherwise(F.col("ip_area.city")),
             "region": F.col("gps_area.region"),
         }
-    ).drop("gps_area", "_ip", "ip_region")
+    ).drop("gps_area", "_ip", "ip_area")

@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 from footfall.functions import blank_to_null, day_start_ms, is_not_blank, next_day
 
 
-def parse_properties(log: DataFrame, column: str = "properties", obsolete: Sequence[str] = ()) -> DataFrame:
-    """JSON text to map<string,string>; malformed text becomes null and the obsolete keys are stripped.
+def parse_properties(log: DataFrame, column: str = "properties") -> DataFrame:
+    """JSON text to map<string,string>; malformed text becomes null.
 
     Followed by :func:`required_fields`, malformed rows are dropped.
     """
-    parsed = F.from_json(column, "map<string,string>")
-    if obsolete:
-        parsed = F.map_filter(parsed, lambda key, _: ~key.isin(list(obsolete)))
-    return log.withColumn(column, parsed)
+    return log.withColumn(column, F.from_json(column, "map<string,string>"))
+
+
+def strip_properties(log: DataFrame, obsolete: Sequence[str], column: str = "properties") -> DataFrame:
+    """Remove obsolete keys from the property map.
+
+    Best after the filters: a lambda is not compiled, so it should not become part of their condition.
+    """
+    return log.withColumn(column, F.map_filter(column, lambda key, _: ~key.isin(list(obsolete))))
 
 
 def required_fields(

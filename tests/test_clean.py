@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from footfall.operators.clean import blank_account_to_null, day_window, parse_properties, required_fields
+from footfall.operators.clean import blank_account_to_null, day_window, parse_properties, required_fields, strip_properties
 from footfall.operators.detail import DETAIL_COLUMNS, LOG_COLUMNS, to_detail
 from helpers import plan, rows
 
@@ -23,7 +23,7 @@ def test_required_fields(spark):
 
 def test_parse_properties_drops_malformed_and_strips_obsolete(spark):
     log = spark.createDataFrame([('{"a": 1, "old": 2}',), ('{"a": 1',), ("",), (None,), ("{}",)], "properties string")
-    got = [r[0] for r in parse_properties(log, obsolete=("old",)).collect()]
+    got = [r[0] for r in strip_properties(parse_properties(log), ["old"]).collect()]
     assert got == [{"a": "1"}, None, None, None, {}]
 
 

@@ -27,12 +27,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def clean_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed, complete, on-time rows."""
-    parsed = clean.parse_properties(d.event_log(spark, sf_dir), obsolete=("old",))
-    return clean.day_window(clean.required_fields(parsed), F.col("dt"))
+    parsed = clean.parse_properties(d.event_log(spark, sf_dir))
+    kept = clean.day_window(clean.required_fields(parsed), F.col("dt"))
+    return clean.strip_properties(kept, ["old"])
 
 
 def parsed_properties(spark, sf_dir):
-    log = clean.parse_properties(d.event_log(spark, sf_dir), obsolete=("old",))
+    log = clean.strip_properties(clean.parse_properties(d.event_log(spark, sf_dir)), ["old"])
     keys = F.array_join(F.array_sort(F.map_keys("properties")), ",")
     return log.select("event_id", keys.alias("prop_keys"), F.col("properties")["k"].alias("prop_k"))
 
@@ -310,33 +311,29 @@ def binding_job(spark, sf_dir):
     )
 
 
-def _detail_inputs(spark, sf_dir) -> event_detail.Inputs:
-    scores = _scores(spark, sf_dir, f"{d.DEVICE_NO} % 3 = 0")
-    return event_detail.Inputs(
-        dictionary=area.area_dictionary(d.areas(spark, sf_dir)),
-        ip_ranges=d.ip_ranges(spark, sf_dir),
-        scores=scores,
-        store=d.guid_store(spark, sf_dir),
+def _detail(spark, sf_dir, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The whole month as one batch, from tables as the job finds them."""
+    stage = Staging(spark)
+    log = clean.parse_properties(d.event_log(spark, sf_dir)).drop("user_id", "value", "dt")
+    inputs = event_detail.Inputs(
+        dictionary=stage(area.area_dictionary(d.areas(spark, sf_dir)), "dictionary"),
+        ip_ranges=stage(d.ip_ranges(spark, sf_dir), "ip_ranges"),
+        scores=_scores(spark, sf_dir, f"{d.DEVICE_NO} % 3 = 0"),
+        store=stage(d.guid_store(spark, sf_dir), "store"),
         base=d.GUID_BASE,
     )
+    return event_detail.build(stage(log, "log"), inputs, stage, d.FIRST_DAY, d.END_DAY, keep=keep)
 
 
 def detail_job(spark, sf_dir):
-    """The whole month as one batch."""
-    log = clean.parse_properties(d.event_log(spark, sf_dir), obsolete=("old",))
-    rows, _ = event_detail.build(
-        log, _detail_inputs(spark, sf_dir), Staging(spark), d.FIRST_DAY, d.END_DAY, keep=("event_id",)
-    )
-    return rows.select(
+    return _detail(spark, sf_dir, keep=("event_id",))[0].select(
         "event_id", "account", "deviceId", "eventId", "splitedSessionId", "filledAccount",
         "province", "city", "region", "guid", "isnew", F.col("properties")["k"].alias("prop_k"),
     )
 
 
 def detail_job_store(spark, sf_dir):
-    log = clean.parse_properties(d.event_log(spark, sf_dir), obsolete=("old",))
-    _, store = event_detail.build(log, _detail_inputs(spark, sf_dir), Staging(spark), d.FIRST_DAY, d.END_DAY)
-    return store
+    return _detail(spark, sf_dir)[1]
 
 
 def attribution_job(spark, sf_dir):
