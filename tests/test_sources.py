@@ -69,8 +69,8 @@ def test_jdbc_read_is_partitioned():
     class Session:
         read = Reader()
 
-    url, table, options = read_areas_jdbc(Session(), "jdbc:x", "t_md_areas", {"user": "u"}, 1, 100, 8)
-    assert (url, table) == ("jdbc:x", "t_md_areas")
+    url, table, options = read_areas_jdbc(Session(), "jdbc:x", "area_tree", {"user": "u"}, 1, 100, 8)
+    assert (url, table) == ("jdbc:x", "area_tree")
     assert options == {"column": "id", "lowerBound": 1, "upperBound": 100, "numPartitions": 8, "properties": {"user": "u"}}
 
 
