@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from footfall.llm.tables import without
 
 #: Pre-tokens that a worker keeps between texts, and characters worked off together.
-KEPT = 600_000
-SLAB = 1 << 21
+KEPT = 250_000
+SLAB = 1 << 20
+#: Ids, or bytes, that a worker hands back at a time.
+HANDED = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,6 +158,33 @@ def pieces_of(text: str, size: int) -> Iterator[str]:
     yield text[at:]
 
 
+class Decoder:
+    """The bytes of each id, and nothing else that encoding needs."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values(), default=-1) + 1
+        words = [b""] * size
+        for word, at in ranks.items():
+            words[at] = word
+        self.known = np.zeros(size, bool)
+        self.known[list(ranks.values())] = True
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(words), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids; raises for an id that is not in the vocabulary."""
+        ids = np.asarray(ids, np.int64)
+        if not len(ids):
+            return b""
+        if ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all():
+            raise ValueError("an id is not in the vocabulary")
+        size = self.lengths[ids]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - size), size)
+        return self.bytes[at].tobytes()
+
+
 class Bpe:
     """A vocabulary of ranks (bytes to id) for the public split pattern."""
 
@@ -169,16 +198,6 @@ class Bpe:
         ranks, self.ids = self.ranks, list(self.ranks.values())
         self.kept: dict[bytes, bytes] = {}
         self.classes = classes()
-        size = max(self.ids, default=-1) + 1
-        words = [b""] * size
-        for word, at in ranks.items():
-            words[at] = word
-        self.known = np.zeros(size, bool)
-        self.known[self.ids] = True
-        self.lengths = np.array([len(w) for w in words], np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(words), np.uint8)
-
     def merged(self, piece: bytes) -> list[int]:
         """Tier two: ids of a pre-token that is no token as a whole."""
         n, rank = len(piece), self.ranks.get
@@ -265,17 +284,8 @@ class Bpe:
     def encode(self, text: str) -> np.ndarray:
         return next(self.encode_many([text]))
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of ids; raises for an id that is not in the vocabulary."""
-        ids = np.asarray(ids, np.int64)
-        if not len(ids):
-            return b""
-        if ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all():
-            raise ValueError("an id is not in the vocabulary")
-        size = self.lengths[ids]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - size), size)
-        return self.bytes[at].tobytes()
+    def decoder(self) -> Decoder:
+        return Decoder(self.ranks)
 
     def __getstate__(self) -> dict:
         return {"ranks": self.ranks, "hash": self.hash}
@@ -291,6 +301,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(word): int(at) for word, at in map(bytes.split, file)}
 
 
+def in_parts(values: Iterable) -> Iterator[pd.Series]:
+    """The values in series of bounded size, so a worker holds little of a batch's result."""
+    part, size = [], 0
+    for value in values:
+        part.append(value)
+        size += 0 if value is None else len(value)
+        if size >= HANDED:
+            yield pd.Series(part, dtype=object)
+            part, size = [], 0
+    if part:
+        yield pd.Series(part, dtype=object)
+
+
 def encode(docs: DataFrame, bpe: Bpe, text: str = "text", out: str = "token_ids") -> DataFrame:
     """``docs`` with ``out``, the array of ids of each whole text; null counts as empty and gives no ids."""
     docs = without(docs, [out])
@@ -299,7 +322,7 @@ def encode(docs: DataFrame, bpe: Bpe, text: str = "text", out: str = "token_ids"
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series(list(shared.value.encode_many(batch)), dtype=object)
+            yield from in_parts(shared.value.encode_many(batch))
 
     return docs.withColumn(out, ids(F.coalesce(F.col(text), F.lit(""))))
 
@@ -307,11 +330,11 @@ def encode(docs: DataFrame, bpe: Bpe, text: str = "text", out: str = "token_ids"
 def decode(docs: DataFrame, bpe: Bpe, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``docs`` with ``out``, the bytes that the ids stand for; null for null."""
     docs = without(docs, [out])
-    shared = docs.sparkSession.sparkContext.broadcast(bpe)
+    shared = docs.sparkSession.sparkContext.broadcast(bpe.decoder())
 
     @F.pandas_udf("binary")
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([None if b is None else shared.value.decode(b) for b in batch], dtype=object)
+            yield from in_parts(None if b is None else shared.value.decode(b) for b in batch)
 
     return docs.withColumn(out, texts(F.col(ids)))
