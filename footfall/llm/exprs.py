@@ -22,6 +22,8 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), _BLANK_RUN), lambda w: w != "")
 
 
-def characters_without(text: Column, signs: str) -> Column:
-    """Number of code points that are none of ``signs``."""
-    return F.length(F.translate(text, signs, "")).cast("bigint")
+def without_signs(text: Column, signs: str) -> Column:
+    """The text without any of ``signs``; one plain search a sign, which is faster than looking every character up."""
+    for sign in signs:
+        text = F.replace(text, F.lit(sign), F.lit(""))
+    return text

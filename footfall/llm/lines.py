@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.exprs import BLANKS, characters_without, let, words
+from footfall.llm.exprs import BLANKS, let, without_signs, words
 from footfall.llm.tables import look_up_hot
 from footfall.sources.staging import Staging
 
@@ -69,19 +69,22 @@ def repeated_words(found: Column) -> Column:
 
 
 def _lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
+    return F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != "")
 
 
 def with_base(docs: DataFrame, text: str, limits: Limits) -> DataFrame:
     """``docs`` with the measures of the text alone; ``_text`` and ``_words`` stay."""
     full = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     lines = let(_lines(F.col("_text")), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
-    both = let(words(F.col("_text")), lambda w: F.struct(F.size(w).cast("bigint").alias("n"), repeated_words(w).alias("r")))
+    both = let(
+        words(F.col("_text")),
+        lambda w: F.struct(F.size(w).cast("bigint").alias("n"), F.length(F.array_join(w, "")).cast("bigint").alias("chars"), repeated_words(w).alias("r")),
+    )
     measured = full.withColumn("_counts", both).withColumns(
         {
             "n_words": F.col("_counts.n"),
-            "word_chars": characters_without(F.col("_text"), BLANKS),
-            "n_symbols": F.length("_text").cast("bigint") - characters_without(F.col("_text"), SYMBOLS),
+            "word_chars": F.col("_counts.chars"),
+            "n_symbols": (F.length("_text") - F.length(without_signs(F.col("_text"), SYMBOLS))).cast("bigint"),
             "n_dup_lines": lines,
             "n_repeat_words": F.col("_counts.r"),
         }
@@ -90,8 +93,10 @@ def with_base(docs: DataFrame, text: str, limits: Limits) -> DataFrame:
     return measured.withColumn("base_failed", failed).drop("_counts")
 
 
-def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
+def normalised(text: Column) -> Column:
+    """The lines with a word, in lower case, with single spaces between words and none around."""
+    single = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " ")
+    return F.filter(F.transform(F.split(single, "\n"), F.trim), lambda x: x != "")
 
 
 def _host(host: Column) -> Column:
@@ -107,8 +112,7 @@ def _key(host: Column, text: Column) -> Column:
 def _line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
     """``host``, ``doc``, ``line``, ``chars`` of every line with a word."""
     full = docs.select(_host(F.col(host)).alias("host"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    lines = F.filter(F.transform(F.split("text", "\n"), normalised), lambda x: x != "")
-    rows = full.select("host", _key(F.col("host"), F.col("text")).alias("doc"), F.explode(lines).alias("line"))
+    rows = full.select("host", _key(F.col("host"), F.col("text")).alias("doc"), F.explode(normalised(F.col("text"))).alias("line"))
     return rows.select("host", "doc", F.unhex(F.md5("line")).alias("line"), F.length("line").cast("bigint").alias("chars"))
 
 
