@@ -22,7 +22,8 @@ _EARLIER = "_earlier"
 
 
 def _with_cell(df: DataFrame, ts: str, cell_ms: int) -> DataFrame:
-    return df.withColumn(_CELL, F.expr(f"`{ts}` div {cell_ms}"))
+    # div alone rounds towards zero, which would make the cell around 0 twice as wide
+    return df.withColumn(_CELL, F.expr(f"(`{ts}` - pmod(`{ts}`, {cell_ms})) div {cell_ms}"))
 
 
 def _inside(flag: Column, window: W) -> Column:

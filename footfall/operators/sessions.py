@@ -21,23 +21,25 @@ def split_sessions(
     Time is cut into cells as wide as the gap.  Two events of one cell are less than a gap apart, so a
     cut can only fall between cells, and first and last event time of each (session, cell) decide it.
     These come from a map-side combined aggregation; the rows themselves are never sorted or gathered
-    by session, they only look up the cut number of their cell.  A session that holds a large share
+    by session, they only look up the start of their cell's part.  A session that holds a large share
     of the log meets itself with one row per cell, and the lookup join can be split at run time.
-    The id is ``<session>_<n>``, n counting from 0, the same on every run.
+    The id is ``<session>_<time of the first event of the part>``: the same on every run, and different for
+    parts that come in different batches.
     """
-    cell = F.expr(f"`{ts}` div {gap_ms}")
+    # div alone rounds towards zero, which would make the cell around 0 twice as wide
+    cell = F.expr(f"(`{ts}` - pmod(`{ts}`, {gap_ms})) div {gap_ms}")
     cells = log.withColumn("_cell", cell)
     by_time = W.partitionBy(session).orderBy("_cell")
     cuts = (
         cells.groupBy(session, "_cell")
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
-        .withColumn("_cut", (F.col("_first") - F.lag("_last").over(by_time) > gap_ms).cast("int"))
-        .withColumn("_cut_no", F.coalesce(F.sum("_cut").over(by_time), F.lit(0)))
-        .select(session, "_cell", "_cut_no")
+        .withColumn("_cut", F.coalesce(F.col("_first") - F.lag("_last").over(by_time) > gap_ms, F.lit(True)))
+        .withColumn("_start", F.last(F.when(F.col("_cut"), F.col("_first")), ignorenulls=True).over(by_time))
+        .select(session, "_cell", "_start")
     )
     return (
         cells.drop(out)
         .join(cuts, [session, "_cell"], "left")
-        .withColumn(out, F.concat(session, F.lit("_"), "_cut_no"))
-        .drop("_cell", "_cut_no")
+        .withColumn(out, F.concat(session, F.lit("_"), "_start"))
+        .drop("_cell", "_start")
     )

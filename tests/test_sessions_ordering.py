@@ -14,20 +14,29 @@ def test_exact_gap_stays_together(spark):
         [("s", 0), ("s", HALF_HOUR), ("s", 2 * HALF_HOUR + 1), (None, 5)], "sessionId string, timeStamp bigint"
     )
     assert rows(split_sessions(log)) == [
-        ("s", 0, "s_0"), ("s", HALF_HOUR, "s_0"), ("s", 2 * HALF_HOUR + 1, "s_1"), (None, 5, None),
+        ("s", 0, "s_0"), ("s", HALF_HOUR, "s_0"), ("s", 2 * HALF_HOUR + 1, f"s_{2 * HALF_HOUR + 1}"), (None, 5, None),
     ]
 
 
 def sequential_split(events, gap):
     found, seen = {}, {}
     for session, ts, key in sorted(events):
-        last, number = seen.get(session, (ts, 0))
-        number += ts - last > gap
-        seen[session] = (ts, number)
-        found[key] = f"{session}_{number}"
+        last, start = seen.get(session, (ts, ts))
+        start = ts if ts - last > gap else start
+        seen[session] = (ts, start)
+        found[key] = f"{session}_{start}"
     return found
 
 
+def test_around_the_epoch_and_over_batches(spark):
+    schema = "sessionId string, timeStamp bigint, key int"
+    early = [("s", -1_700_000, 1), ("s", 1_700_000, 2), ("t", -5, 3), ("t", 5, 4)]
+    got = {r["key"]: r["splitedSessionId"] for r in split_sessions(spark.createDataFrame(early, schema)).collect()}
+    assert got == sequential_split([(s, t, k) for s, t, k in early], HALF_HOUR) and got[1] != got[2] and got[3] == got[4]
+    days = [spark.createDataFrame([("s", day * 86_400_000, day)], schema) for day in (1, 2)]
+    assert split_sessions(days[0]).union(split_sessions(days[1])).select("splitedSessionId").distinct().count() == 2
+
+
 def test_split_equals_the_sequential_rule_with_one_hot_session(spark):
     for seed in range(4):
         rng = random.Random(seed)

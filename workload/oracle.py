@@ -25,10 +25,10 @@ CTES["month_log"] = """select * from complete_log where "timeStamp" >= epoch_ms(
 
 
 def split_cte(source: str) -> str:
-    return f"""select *, concat("sessionId", '_', sum(cut) over (partition by "sessionId" order by "timeStamp", event_id
+    return f"""select *, concat("sessionId", '_', max(case when cut then "timeStamp" end) over (partition by "sessionId" order by "timeStamp", event_id
             rows unbounded preceding)) split_id
-        from (select *, case when "timeStamp" - lag("timeStamp") over (partition by "sessionId"
-                order by "timeStamp", event_id) > 1800000 then 1 else 0 end cut from {source})"""
+        from (select *, coalesce("timeStamp" - lag("timeStamp") over (partition by "sessionId"
+                order by "timeStamp", event_id) > 1800000, true) cut from {source})"""
 
 
 CTES["area_dict"] = """select hashes.geohash, l1.areaname province, l2.areaname city, l3.areaname region
@@ -239,6 +239,13 @@ def build() -> dict[str, str]:
         "overwritten_days": with_ctes(
             f"""select event_id, case when dt >= '{MIDDLE_DAY}' then "eventId" else 'old' end "eventId", dt from event_log"""
         ),
+        "emptied_day": with_ctes(f"""select event_id, "eventId", dt from event_log where dt <> '{MIDDLE_DAY}'"""),
+        "sessions_over_days": with_ctes(
+            """select dt, count(*) n_events, count(distinct concat(s, '_', part)) n_parts from (
+                select *, max(case when cut then "timeStamp" end) over (partition by dt, s order by "timeStamp", event_id rows unbounded preceding) part
+                from (select *, coalesce("timeStamp" - lag("timeStamp") over (partition by dt, s order by "timeStamp", event_id) > 1800000, true) cut
+                    from (select event_id, dt, "timeStamp", "deviceId" s from event_log where "deviceId" is not null))) group by rollup (dt)"""
+        ),
         "appended_days": with_ctes(
             f"""select event_id, "eventId", dt from event_log union all
             select event_id, "eventId", dt from event_log where dt >= '{MIDDLE_DAY}'"""

@@ -12,7 +12,7 @@ from footfall.functions.days import current_day
 from footfall.functions.sql import register_sql_functions
 from footfall.operators import area, attribution, binding, clean, detail, identity, ordering, protect, sessions, visitors
 from footfall.plans import area_dictionary, column_protection, coupon_attribution, device_binding, event_detail, visitor_cube
-from footfall.sources import Staging, append_days, overwrite_days, read_days, read_table, replace_table
+from footfall.sources import Staging, append_days, overwrite_day, overwrite_days, read_days, read_table, replace_table
 from workload import derived as d
 
 TARGET, TOUCHPOINTS = "purchase", ("click", "view", "signup")
@@ -74,6 +74,15 @@ def split_sessions(spark, sf_dir):
     return sessions.split_sessions(clean_log(spark, sf_dir)).select("event_id", "sessionId", "splitedSessionId")
 
 
+def sessions_over_days(spark, sf_dir):
+    """A session id without a date in it, split one day at a time: ids of parts are distinct over all days."""
+    log = d.event_log(spark, sf_dir).where("deviceId is not null").select("event_id", "dt", "timeStamp", "deviceId")
+    # Splitting by (day, device) is what a run per day does.
+    split = sessions.split_sessions(log.withColumn("_s", F.concat("dt", F.lit("|"), "deviceId")), session="_s", out="_part")
+    named = split.withColumn("part", F.concat("deviceId", F.lit("_"), F.element_at(F.split("_part", "_"), -1)))
+    return named.rollup("dt").agg(F.count("*").alias("n_events"), F.count_distinct("part").alias("n_parts"))
+
+
 # --- geography ------------------------------------------------------------------------------------
 
 
@@ -280,6 +289,15 @@ def overwritten_days(spark, sf_dir):
     return read_table(spark, path).withColumn("dt", F.col("dt").cast("string"))
 
 
+def emptied_day(spark, sf_dir):
+    stage = Staging(spark)
+    log = d.event_log(spark, sf_dir).select("event_id", "eventId", "dt")
+    path = stage.location("days")
+    overwrite_days(log, path, rebalance=True)
+    overwrite_day(log.where("false"), path, d.MIDDLE_DAY)
+    return read_table(spark, path).withColumn("dt", F.col("dt").cast("string"))
+
+
 def appended_days(spark, sf_dir):
     stage = Staging(spark)
     log = d.event_log(spark, sf_dir).select("event_id", "eventId", "dt")
@@ -388,14 +406,14 @@ ALL: dict[str, Query] = {
     query.__name__: query
     for query in (
         parsed_properties, required_fields, day_window, blank_account, detail_projection, calendar_days,
-        split_sessions,
+        split_sessions, sessions_over_days,
         geohash, ip_number, area_tree, located_by_position, located_by_ip, located_events,
         daily_scores, merged_scores, merged_scores_literal, best_accounts, filled_accounts,
         assigned_guids, new_visitors, next_guid_store, dense_numbers,
         event_lists, event_segments, linear_attribution, linear_attribution_converted,
         visitor_bitmaps, united_bitmaps, bitmap_cardinality, base_cuboid, cube_rollup, cube_rollup_twice,
         encrypted_column, decrypted_column, protection_job,
-        overwritten_days, appended_days, area_job, binding_job, detail_job, detail_job_store,
+        overwritten_days, emptied_day, appended_days, area_job, binding_job, detail_job, detail_job_store,
         attribution_job, cube_job, ordered_events, sql_functions, sql_cube,
     )
 }
