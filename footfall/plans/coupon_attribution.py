@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators import attribution as op
-from footfall.sources import overwrite_days, read_days
+from footfall.sources import overwrite_day, read_days
 
 
 def build(
@@ -35,4 +35,4 @@ def run(
 ) -> None:
     """Overwrite day ``day`` of the weight table from that day of the detail table."""
     found = build(read_days(spark, detail, day), target, touchpoints, user, converted_only)
-    overwrite_days(found.withColumn("dt", F.lit(day)), weights)
+    overwrite_day(found, weights, day)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.binding import binding_events, daily_scores, merge_scores
-from footfall.sources import append_days, overwrite_days, read_days
+from footfall.sources import append_days, overwrite_day, read_days
 
 
 def build(log: DataFrame, before: DataFrame, literal: bool = False) -> DataFrame:
@@ -28,5 +28,7 @@ def run(
     The day is overwritten; ``append=True`` adds to it instead.
     """
     merged = build(read_days(spark, log, day), read_days(spark, scores, previous_day), literal)
-    write = append_days if append else overwrite_days
-    write(merged.withColumn("dt", F.lit(day)), scores)
+    if append:
+        append_days(merged.withColumn("dt", F.lit(day)), scores)
+    else:
+        overwrite_day(merged, scores, day)

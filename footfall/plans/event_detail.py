@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from footfall.operators import identity
 from footfall.operators.area import fits_broadcast, locate_events
@@ -14,9 +17,10 @@ from footfall.operators.binding import fill_accounts
 from footfall.operators.clean import day_window, required_fields
 from footfall.operators.detail import DETAIL_COLUMNS, to_detail
 from footfall.operators.sessions import split_sessions
-from footfall.sources import Staging, append_days, overwrite_days, read_days, read_table, replace_table
+from footfall.sources import Staging, append_days, overwrite_day, read_days, read_table, replace_table
 
 ROW_ID = "event_id"
+_PLACE, _CONTENT = "_place_in_log", "_content"
 _KEY_COLUMNS = ("sessionId", "timeStamp", "deviceId", "account")
 
 
@@ -40,10 +44,11 @@ def build(
     zone: str = "UTC",
     row_id: str = ROW_ID,
     keep: tuple[str, ...] = (),
+    ties: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Detail rows of ``[from_day, to_day)`` and the next guid store.
 
-    ``row_id`` is unique per row and breaks ties in time.  Session, account and guid are worked out on
+    ``row_id`` is unique per row; ``ties``, then ``row_id``, break ties in time.  Session, account and guid are worked out on
     five narrow columns; the wide rows are shuffled once, by row id, to take the results over.  ``stage``
     writes the narrow results that several later steps read.
 
@@ -51,12 +56,12 @@ def build(
     Beyond that bound the lookups shuffle, so they run on position and address alone and come back by
     row id, like the rest.
     """
-    clean = to_detail(day_window(required_fields(log), from_day, to_day, zone=zone), keep=(row_id, *keep))
-    keys = split_sessions(clean.select(row_id, *_KEY_COLUMNS))
+    clean = to_detail(day_window(required_fields(log), from_day, to_day, zone=zone), keep=(row_id, *ties, *keep))
+    keys = split_sessions(clean.select(row_id, *ties, *_KEY_COLUMNS))
     keys = stage(fill_accounts(keys, inputs.scores).drop("sessionId", "account"), "keys")
 
     resolved, store = identity.resolve(
-        keys, inputs.store, inputs.base, stage, order=("timeStamp", row_id)
+        keys, inputs.store, inputs.base, stage, order=("timeStamp", *ties, row_id)
     )
     resolved = resolved.select(row_id, "splitedSessionId", "filledAccount", "guid", "isnew")
 
@@ -74,6 +79,17 @@ def build(
     return detail.select(*DETAIL_COLUMNS, *keep), store
 
 
+def located_rows(raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``raw`` with a name for the place of each row and a digest of its content."""
+    parts = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`") for f in raw.schema.fields]
+    content = F.sha2(F.to_json(F.struct(*[p.alias(f"c{k}") for k, p in enumerate(parts)])), 256)
+    place = F.concat_ws(".", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index"))
+    try:
+        return raw.withColumns({_PLACE: place, _CONTENT: content})
+    except AnalysisException:  # not a scan of files
+        return stage(raw.withColumns({_PLACE: F.monotonically_increasing_id(), _CONTENT: content}), "log")
+
+
 def run(
     spark: SparkSession,
     log: str,
@@ -93,16 +109,16 @@ def run(
     """Write day ``out_day`` of the detail table and the next version of the guid store.
 
     Reads log day ``log_day`` and the scores of ``bind_day``; both further days default to ``log_day``.
-    ``store`` is read and ``next_store`` written, so a rerun of the day gives the same result.  A log
-    without a unique ``row_id`` gets one first, in a staged copy.
+    ``store`` is read and ``next_store`` written, so a rerun of the day gives the same result.  Rows are told
+    apart by where they lie in the log's files, so a log may hold rows twice; events of one time are put in
+    order by ``row_id``, if the log has one, and by a digest of all columns, so the layout of the files does
+    not matter.  A log whose source does not name places gets numbers in a staged copy.
     """
     if store == next_store:
         raise ValueError("the next store needs a location of its own, a rerun reads the old one")
-    stage = Staging(spark, f"event-detail-{log_day}")
-    raw = read_days(spark, log, log_day)
-    if row_id is None:
-        row_id = "_row_id"
-        raw = stage(raw.withColumn(row_id, F.monotonically_increasing_id()), "log")
+    places = (log, dictionary, ip_ranges, scores, store, next_store, detail, log_day, bind_day or "", out_day or "")
+    stage = Staging(spark, f"event-detail-{log_day}-{hashlib.sha256(chr(10).join(places).encode()).hexdigest()[:16]}")
+    raw = located_rows(read_days(spark, log, log_day), stage)
     guid_store = read_table(spark, store)
     inputs = Inputs(
         dictionary=read_table(spark, dictionary),
@@ -111,7 +127,10 @@ def run(
         store=guid_store,
         base=identity.stored_counter(guid_store),
     )
-    rows, new_store = build(raw, inputs, stage, log_day, zone=zone, row_id=row_id)
+    ties = (row_id, _CONTENT) if row_id else (_CONTENT,)
+    rows, new_store = build(raw, inputs, stage, log_day, zone=zone, row_id=_PLACE, ties=ties)
     replace_table(new_store, next_store)
-    write = append_days if append else overwrite_days
-    write(rows.withColumn("dt", F.lit(out_day or log_day)), detail)
+    if append:
+        append_days(rows.withColumn("dt", F.lit(out_day or log_day)), detail)
+    else:
+        overwrite_day(rows, detail, out_day or log_day)

@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> Data
 def read_days(
     spark: SparkSession, location: str, from_day: str, to_day: str | None = None, by: str = "dt"
 ) -> DataFrame:
-    """The day partitions ``[from_day, to_day)``, or just ``from_day``; the other partitions are not listed."""
+    """The day partitions ``[from_day, to_day)``, or just ``from_day``; the files of other partitions are not read."""
     day = F.col(by).cast("string")
     wanted = day == from_day if to_day is None else (day >= from_day) & (day < to_day)
     return read_table(spark, location).where(wanted)

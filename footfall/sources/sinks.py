@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import functions as F
 
 
 def _writer(df: DataFrame, mode: str) -> DataFrameWriter:
@@ -30,6 +31,23 @@ def overwrite_days(df: DataFrame, location: str, by: str = "dt", rebalance: bool
     _write_days(df, location, by, "overwrite", rebalance)
 
 
+def overwrite_day(df: DataFrame, location: str, day: str, by: str = "dt") -> None:
+    """Replace the partition of one named day by ``df``; without rows the day is empty afterwards.
+
+    Other days are not touched.  A column ``by`` of ``df`` is ignored.
+    """
+    spark, rows = df.sparkSession, df.drop(by)
+    if "/" in location:
+        rows.write.mode("overwrite").parquet(f"{location.rstrip('/')}/{by}={day}")
+    elif spark.catalog.tableExists(location):
+        columns = [c for c in spark.table(location).columns if c.lower() != by.lower()]
+        named = ", ".join(f"`{c}`" for c in columns)
+        query = f"insert overwrite table {location} partition ({by} = :day) ({named}) select {named} from {{rows}}"
+        spark.sql(query.replace(":day", "'" + day.replace("'", "''") + "'"), rows=rows.select(*columns))
+    else:
+        rows.withColumn(by, F.lit(day)).write.partitionBy(by).saveAsTable(location)
+
+
 def append_days(df: DataFrame, location: str, by: str = "dt", rebalance: bool = False) -> None:
     """Add rows to day partitions; a rerun adds them again."""
     _write_days(df, location, by, "append", rebalance)

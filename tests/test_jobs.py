@@ -9,7 +9,9 @@ from footfall.operators import area
 from footfall.operators.detail import DETAIL_COLUMNS
 from footfall.operators.identity import STORE_SCHEMA
 from footfall.plans import area_dictionary, coupon_attribution, device_binding, event_detail
-from footfall.sources import overwrite_days, read_table, replace_table
+from footfall.operators.clean import day_window, required_fields
+from footfall.operators.detail import to_detail
+from footfall.sources import overwrite_day, overwrite_days, read_table, replace_table
 from helpers import rows
 
 DAY = 1612137600000  # 2021-02-01 00:00 UTC
@@ -121,6 +123,13 @@ def test_log_without_row_id_and_other_days(spark, warehouse):
     without = run_detail(spark, root, "2021-02-01", "store-0", "store-y", out="without", **options)
     got = without.drop("guid", "isnew").withColumn("properties", F.col("properties")["k"])
     assert rows(got, *expected.columns) == rows(expected)
+    # The same rows in other files, in another order, get the same guids.
+    read_table(spark, f"{root}/log").repartition(5, "eventId").write.partitionBy("dt").parquet(f"{root}/log-again/log")
+    for name in ("dictionary", "ranges", "scores", "store-0"):
+        read = read_table(spark, f"{root}/{name}")
+        (read.write.partitionBy("dt") if "dt" in read.columns else read.write).parquet(f"{root}/log-again/{name}")
+    again = run_detail(spark, f"{root}/log-again", "2021-02-01", "store-0", "store-y", out="without", **options)
+    assert comparable(again) == comparable(without)
     with pytest.raises(ValueError, match="next store"):
         run_detail(spark, root, "2021-02-01", "store-0", "store-0")
 
@@ -138,6 +147,32 @@ def test_large_lookup_tables_give_the_same_rows(spark, warehouse, monkeypatch):
     assert small == large and len(small) > 100
 
 
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_rows_that_come_twice_stay_two(spark, warehouse, folder, monkeypatch, most):
+    log = read_table(spark, f"{warehouse}/log")
+    log.unionByName(log.where("event_id % 10 = 0")).write.partitionBy("dt").parquet(f"{folder}/log")
+    for name in ("dictionary", "ranges", "scores", "store-0"):
+        read = read_table(spark, f"{warehouse}/{name}")
+        (read.write.partitionBy("dt") if "dt" in read.columns else read.write).parquet(f"{folder}/{name}")
+    monkeypatch.setattr(area, "MAX_BROADCAST_ROWS", most)
+    options = {"row_id": "event_id", "bind_day": "2021-01-31"}
+    plain = run_detail(spark, warehouse, "2021-02-01", "store-0", "store-p", out="plain", **options).count()
+    extra = to_detail(day_window(required_fields(log.where("event_id % 10 = 0")), "2021-02-01", zone="UTC")).count()
+    assert run_detail(spark, folder, "2021-02-01", "store-0", "store-p", out="twice", **options).count() == plain + extra > plain
+
+
+def test_a_day_without_rows_is_emptied(spark, folder):
+    weights = f"{folder}/weights"
+    schema = "guid bigint, timeStamp bigint, eventId string"
+    for day, events in (("d1", [(1, 1, "adShow"), (1, 2, "fetchCoupon")]), ("d2", [(2, 1, "adShow"), (2, 2, "fetchCoupon")]), ("d1", [])):
+        overwrite_day(spark.createDataFrame(events, schema), f"{folder}/detail", day)
+        coupon_attribution.run(spark, f"{folder}/detail", weights, day)
+    assert rows(read_table(spark, weights), "dt") == [("d2",)]
+    for day, ids in (("d1", [1]), ("d2", [2]), ("d1", [])):
+        overwrite_day(spark.createDataFrame([(i, "x") for i in ids], "id bigint, name string"), "emptied_days", day)
+    assert rows(spark.table("emptied_days"), "id", "dt") == [(2, "d2")]
+
+
 def test_append_adds_a_second_copy(spark, warehouse):
     root = warehouse
     for _ in range(2):
