@@ -6,8 +6,8 @@ SPARK_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Sizes are compressed and the rows of a hot key compress well, so split earlier than the default 256 MB.
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
-    # No operator hints a broadcast; Spark does it when its own size estimate is below this bound
-    # (area dictionaries and IP tables are some tens of MB) and falls back to a sort-merge join above it.
+    # Spark broadcasts when its own size estimate is below this bound and falls back to a sort-merge join
+    # above it; only the area lookups ask for a broadcast themselves, after counting their rows.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     # Names such as deviceId / deviceid are the same column.
     "spark.sql.caseSensitive": "false",

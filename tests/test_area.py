@@ -14,7 +14,7 @@ from helpers import plan, rows
 
 AREAS = [
     (1, None, 1, "P1", None, None), (2, 1, 2, "C1", None, None), (3, 2, 3, "R1", None, None),
-    (4, 3, 4, "street", 40.18365597944445, 95.11045987748628), (5, 3, 4, "lane", 0.0, 0.0),
+    (4, 3, 4, "street", -33.25, 151.5), (5, 3, 4, "lane", 0.0, 0.0),
     (6, 99, 4, "orphan", 1.0, 1.0),
 ]
 AREA_SCHEMA = "id bigint, parentid bigint, level int, areaname string, bd09_lat double, bd09_lng double"
@@ -29,7 +29,7 @@ def ip(text):
 def test_flatten(spark):
     areas = spark.createDataFrame(AREAS, AREA_SCHEMA)
     assert rows(flatten_areas(areas), "id", "province", "city", "region") == [(4, "P1", "C1", "R1"), (5, "P1", "C1", "R1")]
-    assert rows(area_dictionary(areas)) == [("s00000", "P1", "C1", "R1"), ("wp5ss7", "P1", "C1", "R1")]
+    assert rows(area_dictionary(areas)) == [("r65dz7", "P1", "C1", "R1"), ("s00000", "P1", "C1", "R1")]
 
 
 def test_one_area_per_valid_geohash(spark):
@@ -40,7 +40,7 @@ def test_one_area_per_valid_geohash(spark):
 
 def test_position_first_then_ip_else_nothing(spark):
     dictionary = spark.createDataFrame(
-        [("s00000", "P0", "C0", "R0"), ("wp5ss7", None, None, "R1")],
+        [("s00000", "P0", "C0", "R0"), ("r65dz7", None, None, "R1")],
         "geohash string, province string, city string, region string",
     )
     ranges = spark.createDataFrame(
@@ -58,7 +58,7 @@ def test_position_first_then_ip_else_nothing(spark):
     )
     log = spark.createDataFrame(
         [
-            (1, 0.0, 0.0, "1.2.3.4"), (2, 40.18365597944445, 95.11045987748628, "1.2.3.4"),
+            (1, 0.0, 0.0, "1.2.3.4"), (2, -33.25, 151.5, "1.2.3.4"),
             (3, 50.0, 50.0, "1.2.3.4"), (4, None, None, "2.0.9.9"), (5, 95.0, 0.0, "2.1.0.7"), (6, None, 0.0, "2.1.0.10"),
             (7, None, None, "nonsense"), (8, None, None, None), (9, None, None, "3.0.0.1"), (10, None, None, "3.0.1.1"),
             (11, None, None, "3.0.2.1"), (12, None, None, "3.0.3.1"), (13, None, None, "3.0.4.1"), (14, None, None, "9.9.9.9"),

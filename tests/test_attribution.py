@@ -36,19 +36,22 @@ def test_labels_and_untracked_events(spark):
     assert rows(linear_weights(segments)) == [(MODEL, STRATEGY, 6, "fetchCoupon", "goodsView", 100.0)]
 
 
-def literal_rule(users_events):
-    """Join the event names to one text, split it at the target, weigh each piece."""
+def walked(users_events):
+    """Walk over each user's events and close a segment at every target and at the end."""
     out = []
     for guid, events in users_events.items():
-        text = ",".join(name for _, name in sorted(events))
-        for piece in text.split("T"):
-            names = [n for n in piece.split(",") if n.strip()]
-            out += [(guid, n, round(100 / len(names), 6)) for n in names]
+        touched = []
+        for _, name in [*sorted(events), (None, "T")]:
+            if name != "T":
+                touched.append(name)
+                continue
+            out += [(guid, n, round(100 / len(touched), 6)) for n in touched]
+            touched = []
     return ordered(out)
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_equals_the_literal_rule_with_one_hot_user(spark, seed):
+def test_equals_a_walk_with_one_hot_user(spark, seed):
     rng = random.Random(seed)
     users = defaultdict(list)
     for _ in range(800):
@@ -56,7 +59,7 @@ def test_equals_the_literal_rule_with_one_hot_user(spark, seed):
     data = [(guid, ts, name) for guid, events in users.items() for ts, name in events]
     segments = event_segments(spark.createDataFrame(data, SCHEMA), "T", ("a", "b", "c"))
     got = [(r["guid"], r["attr_event"], round(r["weight"], 6)) for r in linear_weights(segments, "T").collect()]
-    assert ordered(got) == literal_rule(users)
+    assert ordered(got) == walked(users)
 
 
 def test_lists_come_in_order_and_whole(spark):

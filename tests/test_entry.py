@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as spark_entry
+from workload.queries import ALL
 
 DATA = "/root/testdata/sf0.001"
 
@@ -33,14 +34,14 @@ def sql():
 
 
 def test_every_query_has_its_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(ALL) <= set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
 def test_entry(spark):
     assert spark_entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
 def test_query_equals_sql(spark, sql, name):
     frame = spark_entry.queries()[name](spark, DATA)
     result = sql.execute(spark_entry.oracle_sql()[name])

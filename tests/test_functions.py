@@ -31,8 +31,8 @@ def test_blank(spark):
 
 def test_geohash_known_points(spark):
     points = {
-        (40.18365597944445, 95.11045987748628): "wp5ss7",
-        (40.25516465387142, 94.75011840486005): "wp5mh0",
+        (-33.25, 151.5): bisected(-33.25, 151.5),
+        (61.125, -149.875): bisected(61.125, -149.875),
         (90.0, 180.0): "zzzzzz",
         (-90.0, -180.0): "000000",
         (0.0, 0.0): "s00000",
@@ -61,9 +61,9 @@ def test_geohash_equals_bisection_also_at_cell_edges(spark):
 
 def test_ipv4(spark):
     cases = {
-        "255.24.78.129": 4279783041,
-        "120.24.78.129": 2014858881,
-        "39.99.177.94": 660844894,
+        "203.0.113.77": 3405803853,
+        "198.51.100.3": 3325256707,
+        "192.0.2.250": 3221226234,
         "0.0.0.0": 0,
         "255.255.255.255": 2**32 - 1,
         "x": None,
@@ -102,7 +102,7 @@ def test_day_start_does_not_depend_on_the_session_zone(spark):
 def test_sql_functions(spark):
     register_sql_functions(spark)
     got = spark.sql(
-        "select geo(40.18365597944445D, 95.11045987748628D), isNotBlank('\t'), isNotBlank(null), isNotBlank('x'),"
+        "select geo(-33.25D, 151.5D), isNotBlank('\t'), isNotBlank(null), isNotBlank('x'),"
         " getCnt(bitmap_construct_agg(bitmap_bit_position(id))) from values 1, 2, 3, 3, null as t(id)"
     )
-    assert tuple(got.first()) == ("wp5ss7", False, False, True, 3)
+    assert tuple(got.first()) == ("r65dz7", False, False, True, 3)
