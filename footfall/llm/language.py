@@ -130,20 +130,20 @@ class Parser:
 
 
 def training_texts(
-    labelled: DataFrame, text: str = "text", lang: str = "lang",
+    labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
     docs: int = TRAIN_DOCS, doc_bytes: int = TRAIN_BYTES_A_DOC, all_bytes: int = TRAIN_BYTES,
 ) -> dict[str, bytes]:
     """A bounded sample for each language: ``docs`` documents in order of a digest, ``doc_bytes`` of each, ``all_bytes`` in all.
 
-    Rows without language, text or letters teach nothing.
+    The digest is of text and id, so copies of a text are in the sample in proportion only.  Rows without language, text or letters teach nothing.
     """
     order = W.partitionBy("lang").orderBy("_order", "_digest")
     digests = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.xxhash64(text).alias("_digest"), F.xxhash64(text, F.lit(1)).alias("_order"), F.col(text).alias("text")
+        F.col(lang).alias("lang"), F.xxhash64(text).alias("_digest"), F.xxhash64(doc_id, text).alias("_order"), F.substring(text, 1, doc_bytes).alias("text")
     )
     # The rank has a limit, so each task keeps no more than so many rows of a language before anything moves.
     picked = digests.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= docs)
-    cut = picked.select("lang", "_rank", letters(F.substring("text", 1, doc_bytes)).cast("binary").alias("text"))
+    cut = picked.select("lang", "_rank", letters(F.col("text")).cast("binary").alias("text"))
     found: dict[str, bytes] = {}
     for row in cut.orderBy("lang", "_rank").toLocalIterator():
         if len(row["text"]) > 1 and len(found.get(row["lang"], b"")) < all_bytes:
@@ -151,9 +151,9 @@ def training_texts(
     return {k: v[:all_bytes] for k, v in found.items()}
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Parser | None:
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Parser | None:
     """The parser of all languages of ``labelled``; None if nothing there has a language and letters."""
-    texts = training_texts(labelled, text, lang)
+    texts = training_texts(labelled, text, lang, doc_id)
     return Parser(texts) if texts else None
 
 
