@@ -36,6 +36,10 @@ JOBS: dict[str, Callable] = {
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     top.add_argument("--hive", action="store_true", help="use the Hive catalog")
+    top.add_argument(
+        "--partitions", default="20000",
+        help="partitions a shuffle starts with; small ones are merged at run time, large even ones cannot be split (default: %(default)s)",
+    )
     jobs = top.add_subparsers(dest="job", required=True)
     for name, run in JOBS.items():
         job = jobs.add_parser(name, description=run.__doc__)
@@ -56,11 +60,12 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: Sequence[str] | None = None) -> None:
     options = {k: v for k, v in vars(parser().parse_args(arguments)).items() if v is not None}
     job, hive, key_file = options.pop("job"), options.pop("hive"), options.pop("key_file", None)
+    settings = {**SPARK_CONF, "spark.sql.adaptive.coalescePartitions.initialPartitionNum": options.pop("partitions")}
     if key_file:
         with open(key_file) as file:
             options["key"] = file.read().strip()
     builder, submitted = SparkSession.builder.appName(f"footfall {job}"), SparkConf()
-    for key, value in SPARK_CONF.items():
+    for key, value in settings.items():
         if not submitted.contains(key):
             builder = builder.config(key, value)
     JOBS[job]((builder.enableHiveSupport() if hive else builder).getOrCreate(), **options)

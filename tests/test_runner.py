@@ -26,6 +26,7 @@ def test_a_job_runs_from_the_command_line(spark, folder):
     with open(f"{folder}/key", "w") as file:
         file.write("unit-test-key-16\n")
     spark.createDataFrame([("n", "123")], "name string, id_number string").write.parquet(f"{folder}/people")
-    jobs.main(["protect-column", "--people", f"{folder}/people", "--sealed", f"{folder}/sealed", "--key-file", f"{folder}/key"])
+    jobs.main(["--partitions", "4", "protect-column", "--people", f"{folder}/people", "--sealed", f"{folder}/sealed", "--key-file", f"{folder}/key"])
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "4"
     stored = spark.read.parquet(f"{folder}/sealed")
     assert decrypt_column(stored, "encrypted_id", "unit-test-key-16", "plain").first()["plain"] == "123"
