@@ -54,12 +54,12 @@ def unique_geohashes(dictionary: DataFrame) -> DataFrame:
     )
 
 
-def _tiers() -> list[tuple[int, Column]]:
-    """Bucket shift and range test of each tier."""
+def _shift() -> Column:
+    """Bucket shift of a range, by its width."""
     width = F.col("hi") - F.col("lo")
     narrow, middle = (2**shift * _BUCKETS_PER_RANGE for shift in _TIER_SHIFTS[:-1])
-    tests = (width < narrow, (width >= narrow) & (width < middle), width >= middle)
-    return list(zip(_TIER_SHIFTS, tests, strict=True))
+    small, medium, large = _TIER_SHIFTS
+    return F.when(width < narrow, small).when(width < middle, medium).otherwise(large)
 
 
 def fits_broadcast(dictionary: DataFrame, ranges: DataFrame, limit: int | None = None) -> bool:
@@ -68,17 +68,12 @@ def fits_broadcast(dictionary: DataFrame, ranges: DataFrame, limit: int | None =
     Two counts over the lookup tables; the log is not touched.
     """
     limit = MAX_BROADCAST_ROWS if limit is None else limit
-    buckets = F.lit(None)
-    for shift, test in reversed(_tiers()):
-        buckets = F.when(test, F.shiftright("hi", shift) - F.shiftright("lo", shift) + 1).otherwise(buckets)
-    n_buckets = ranges.agg(F.coalesce(F.sum(buckets), F.lit(0))).first()[0]
+    shifted = ranges.where("lo <= hi").withColumn("_shift", _shift())
+    buckets = F.expr("shiftright(hi, _shift) - shiftright(lo, _shift) + 1")
+    n_buckets = shifted.agg(F.coalesce(F.sum(buckets), F.lit(0))).first()[0]
     return n_buckets + dictionary.count() <= limit
 
 
-def _lookup(side: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(side) if small else side
-
-
 def locate_by_position(
     log: DataFrame,
     dictionary: DataFrame,
@@ -89,11 +84,21 @@ def locate_by_position(
 ) -> DataFrame:
     """Add ``out``: the area struct of the event's geohash, null when the cell is not in the dictionary.
 
-    ``small=True``, after :func:`fits_broadcast`, keeps the log where it is; otherwise Spark chooses.
+    ``small=True``, after :func:`fits_broadcast`, keeps the log where it is; otherwise Spark chooses, and
+    rows without a cell go past the join, so they cannot crowd one task.
     """
     places = unique_geohashes(dictionary).withColumnsRenamed({"geohash": "_geohash", "area": out})
     cells = log.withColumn("_geohash", geohash6(latitude, longitude))
-    return look_up(cells, _lookup(places, small), ["_geohash"]).drop("_geohash")
+    if small:
+        return look_up(cells, F.broadcast(places), ["_geohash"]).drop("_geohash")
+    return _look_up_known(cells, places, "_geohash", out).drop("_geohash")
+
+
+def _look_up_known(rows: DataFrame, table: DataFrame, key: str, out: str) -> DataFrame:
+    """:func:`look_up` of the rows with a ``key``; those without get a null ``out`` and do not meet the table."""
+    nothing = F.lit(None).cast(table.schema[out].dataType)
+    known = look_up(rows.where(F.col(key).isNotNull()), table, [key])
+    return known.unionByName(rows.where(F.col(key).isNull()).withColumn(out, nothing))
 
 
 def ip_areas(ranges: DataFrame) -> DataFrame:
@@ -117,25 +122,39 @@ def locate_by_ip(
 ) -> DataFrame:
     """Add ``out``: the ``value`` of the range ``[lo, hi]`` that holds the address number.
 
-    The ranges must not overlap.  A range join is turned into equi-joins on address buckets; the bucket
-    width follows the width of the range, in three tiers.  So a range is repeated 17 times at most (256
-    for those of 2^20 addresses and more, of which there are at most 4,096), and an address meets at
-    most 256 narrow, 18 middle and 18 wide ranges.  ``small`` is as in :func:`locate_by_position`.
+    Where ranges overlap, the one that starts last holds, of those the shortest, and of equal ranges the
+    one with the largest value, so every row stays one row.
+
+    A range join is turned into equi-joins on address buckets; the bucket width follows the width of the
+    range, in three tiers.  So a range is repeated 17 times at most (256 for those of 2^20 addresses and
+    more), and of ranges that do not overlap an address meets at most 256 narrow, 18 middle and 18 wide
+    ones.  ``small=True``, after :func:`fits_broadcast`, keeps the log where it is: each bucket is one
+    broadcast row with its ranges.  Otherwise the distinct addresses of the log are looked up, and the
+    log is joined once to what they found; rows without an address go past that join.
     """
-    address = F.col(ip_number)
-    found = []
-    for shift, tier in _tiers():
-        lo, hi, bucket, region = f"_lo{shift}", f"_hi{shift}", f"_bucket{shift}", f"_region{shift}"
-        side = ranges.where(tier).select(
-            F.col("lo").alias(lo),
-            F.col("hi").alias(hi),
-            F.col(value).alias(region),
-            F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift))).alias(bucket),
-        )
-        same = (F.shiftright(address, shift) == F.col(bucket)) & address.between(F.col(lo), F.col(hi))
-        log = log.join(_lookup(side, small), same, "left").drop(lo, hi, bucket)
-        found.append(region)
-    return log.withColumn(out, F.coalesce(*found)).drop(*found)
+    rank = F.struct("lo", (-F.col("hi")).alias("minus_hi"), F.col(value).alias("value"))
+    buckets = F.expr("explode(sequence(shiftright(lo, _shift), shiftright(hi, _shift)))")
+    placed = ranges.where("lo <= hi").withColumn("_shift", _shift()).select("_shift", rank.alias("_range"), buckets.alias("_bucket"))
+    return _by_buckets(log, placed, ip_number, out) if small else _by_addresses(log, placed, ip_number, out)
+
+
+def _by_buckets(log: DataFrame, placed: DataFrame, ip_number: str, out: str) -> DataFrame:
+    address, hits = F.col(ip_number), []
+    for shift in _TIER_SHIFTS:
+        bucket, held = f"_bucket{shift}", f"_ranges{shift}"
+        side = placed.where(F.col("_shift") == shift).groupBy(F.col("_bucket").alias(bucket)).agg(F.collect_list("_range").alias(held))
+        log = log.join(F.broadcast(side), F.shiftright(address, shift) == F.col(bucket), "left").drop(bucket)
+        hits.append(F.array_max(F.filter(held, lambda r: address.between(r["lo"], -r["minus_hi"]))))
+    return log.withColumn(out, F.array_max(F.array(*hits))["value"]).drop(*[f"_ranges{shift}" for shift in _TIER_SHIFTS])
+
+
+def _by_addresses(log: DataFrame, placed: DataFrame, ip_number: str, out: str) -> DataFrame:
+    rows = log.withColumn("_address", F.col(ip_number))
+    buckets = [F.struct(F.lit(shift).alias("_shift"), F.shiftright("_address", shift).alias("_bucket")) for shift in _TIER_SHIFTS]
+    asked = rows.where("_address is not null").select("_address").distinct().select("_address", F.inline(F.array(*buckets)))
+    hits = asked.join(placed, ["_shift", "_bucket"]).where("_address between _range.lo and -_range.minus_hi")
+    found = hits.groupBy("_address").agg(F.max("_range").alias("_range")).select("_address", F.col("_range.value").alias(out))
+    return _look_up_known(rows, found, "_address", out).drop("_address")
 
 
 def locate_events(

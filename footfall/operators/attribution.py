@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.operators.lookup import look_up
-from footfall.operators.ordering import row_positions, running_count
+from footfall.operators.ordering import CELL, row_positions, running_count, with_cell
 
 # The coupon attribution job's events and the labels in its result table.
 TARGET = "fetchCoupon"
@@ -73,19 +74,28 @@ def linear_weights(
     user: str = "guid",
     event: str = "eventId",
     converted_only: bool = False,
+    ts: str = "timeStamp",
 ) -> DataFrame:
     """Each touchpoint of a segment gets 100 / number of touchpoints in it; repeats are rows of their own.
 
     Events after the last target, and users without any, count as a segment too;
     ``converted_only=True`` leaves them out.
+
+    A segment may hold a large share of all rows, so its touchpoints are not joined to its size but, cell
+    by cell, to a summary row of the cell that knows it; only those summary rows meet in one window.
     """
-    touches = segments.where(~F.col("is_target"))
-    sizes = segments.groupBy(user, "segment").agg(
-        F.count_if(~F.col("is_target")).alias("_size"), F.count_if("is_target").alias("_targets")
+    cells = with_cell(segments, ts)
+    touches = cells.where(~F.col("is_target"))
+    whole = W.partitionBy(user, "segment")
+    per_cell = cells.groupBy(user, "segment", CELL).agg(
+        F.count_if(~F.col("is_target")).alias("_touches"), F.count_if("is_target").alias("_targets")
+    )
+    sizes = per_cell.select(
+        user, "segment", CELL, F.sum("_touches").over(whole).alias("_size"), F.sum("_targets").over(whole).alias("_targets")
     )
     if converted_only:
         sizes = sizes.where("_targets > 0")
-    return look_up(touches, sizes, [user, "segment"], "inner").select(
+    return look_up(touches, sizes, [user, "segment", CELL], "inner").select(
         F.lit(model).alias("model"),
         F.lit(strategy).alias("strategy"),
         user,

@@ -2,9 +2,11 @@
 
 A plain ``Window.partitionBy(key)`` puts every row of a key into one task.  The operators here cut a
 key into time cells: rows are numbered inside (key, cell), the cells of a key are summed up in order,
-and the running total of the earlier cells is joined back.  A key is then spread over as many tasks
-as it has cells, and only one summary row per cell ever meets the others of its key.  Cells are a
-pure function of the row, so nothing is sampled and a lost executor recomputes the same pieces.
+first inside blocks of cells and then over the blocks, and the running total of the earlier cells is
+joined back.  A key is then spread over as many tasks as it has cells, and only one summary row per
+block ever meets the others of its key.  Cells are a pure function of the row, so nothing is sampled
+and a lost executor recomputes the same pieces.  Rows of a key with one and the same timestamp are in
+one cell whatever its width.
 """
 
 from __future__ import annotations
@@ -15,19 +17,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CELL_MS = 30_000
-_CELL = "_cell"
+#: A cell is a second, so a burst is split too; a block is an hour of cells.
+CELL_MS = 1_000
+CELLS_PER_BLOCK = 3_600
+CELL = "_cell"
+_BLOCK = "_block"
 _LOCAL = "_local"
 _EARLIER = "_earlier"
 
 
-def _with_cell(df: DataFrame, ts: str, cell_ms: int) -> DataFrame:
+def _floor_div(column: str, size: int) -> Column:
     # div alone rounds towards zero, which would make the cell around 0 twice as wide
-    return df.withColumn(_CELL, F.expr(f"(`{ts}` - pmod(`{ts}`, {cell_ms})) div {cell_ms}"))
+    return F.expr(f"(`{column}` - pmod(`{column}`, {size})) div {size}")
 
 
-def _inside(flag: Column, window: W) -> Column:
-    return F.coalesce(F.sum(flag.cast("bigint")).over(window), F.lit(0))
+def with_cell(df: DataFrame, ts: str, cell_ms: int = CELL_MS) -> DataFrame:
+    """Add ``CELL``, the number of the time cell of ``ts``."""
+    return df.withColumn(CELL, _floor_div(ts, cell_ms))
+
+
+def _before(column: str, window: W) -> Column:
+    return F.coalesce(F.sum(column).over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+
+def _earlier_totals(cells: DataFrame, keys: Sequence[str], flag: Column, cells_per_block: int) -> DataFrame:
+    """``_earlier`` of each (key, cell): the rows with ``flag`` in the cells of the key before it."""
+    per_cell = cells.groupBy(*keys, CELL).agg(F.count_if(flag).alias(_LOCAL)).withColumn(_BLOCK, _floor_div(CELL, cells_per_block))
+    per_block = (
+        per_cell.groupBy(*keys, _BLOCK)
+        .agg(F.sum(_LOCAL).alias("_in_block"))
+        .select(*keys, _BLOCK, _before("_in_block", W.partitionBy(*keys).orderBy(_BLOCK)).alias("_before_block"))
+    )
+    return (
+        per_cell.withColumn("_before_cell", _before(_LOCAL, W.partitionBy(*keys, _BLOCK).orderBy(CELL)))
+        .join(per_block, [*keys, _BLOCK])
+        .select(*keys, CELL, (F.col("_before_cell") + F.col("_before_block")).alias(_EARLIER))
+    )
 
 
 def running_count(
@@ -38,26 +63,21 @@ def running_count(
     out: str,
     inclusive: bool = False,
     cell_ms: int = CELL_MS,
+    cells_per_block: int = CELLS_PER_BLOCK,
 ) -> DataFrame:
     """Add ``out``: how many rows with ``flag`` come before the row (or up to it) within ``keys``.
 
     ``order`` starts with a timestamp in milliseconds and should order the rows of a key totally.
-    Keys and timestamps must not be null.
+    Keys and timestamps must not be null.  Without keys all rows are one sequence.
     """
-    cells = _with_cell(df, order[0], cell_ms)
-    here = W.partitionBy(*keys, _CELL).orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
-    earlier = W.partitionBy(*keys).orderBy(_CELL).rowsBetween(W.unboundedPreceding, -1)
-    totals = (
-        cells.groupBy(*keys, _CELL)
-        .agg(F.count_if(flag).alias(_LOCAL))
-        .withColumn(_EARLIER, F.coalesce(F.sum(_LOCAL).over(earlier), F.lit(0)))
-        .drop(_LOCAL)
-    )
+    cells = with_cell(df, order[0], cell_ms)
+    here = W.partitionBy(*keys, CELL).orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
+    inside = F.coalesce(F.sum(flag.cast("bigint")).over(here), F.lit(0))
     return (
-        cells.withColumn(_LOCAL, _inside(flag, here))
-        .join(totals, [*keys, _CELL], "left")
+        cells.withColumn(_LOCAL, inside)
+        .join(_earlier_totals(cells, keys, flag, cells_per_block), [*keys, CELL], "left")
         .withColumn(out, F.col(_LOCAL) + F.coalesce(_EARLIER, F.lit(0)))
-        .drop(_CELL, _LOCAL, _EARLIER)
+        .drop(CELL, _LOCAL, _EARLIER)
     )
 
 
@@ -74,39 +94,14 @@ def dense_numbers(
     out: str,
     base: int | Column = 0,
     flag: Column | None = None,
-    cell_ms: int = 1_000,
-    cells_per_block: int = 3_600,
+    cell_ms: int = CELL_MS,
+    cells_per_block: int = CELLS_PER_BLOCK,
 ) -> DataFrame:
     """Add ``out``: ``base + 1, base + 2, ...`` over all rows with ``flag``, in ``order``, without gaps.
 
-    Rows without the flag repeat the last number before them.  Totals are summed in two levels, cells
-    inside a block and blocks over all: with the defaults a block is an hour, so the last level holds
-    24 rows for a day, 88,000 for ten years, however many rows are numbered.
+    Rows without the flag repeat the last number before them.  With the defaults the last level of totals
+    holds a row per hour, 24 for a day, 88,000 for ten years, however many rows are numbered.
     """
     flag = F.lit(True) if flag is None else flag
-    block = "_block"
-    cells = _with_cell(df, order[0], cell_ms)
-    here = W.partitionBy(_CELL).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    in_block = W.partitionBy(block).orderBy(_CELL).rowsBetween(W.unboundedPreceding, -1)
-    over_blocks = W.orderBy(block).rowsBetween(W.unboundedPreceding, -1)
-    per_cell = (
-        cells.groupBy(_CELL)
-        .agg(F.count_if(flag).alias(_LOCAL))
-        .withColumn(block, F.expr(f"{_CELL} div {cells_per_block}"))
-    )
-    per_block = (
-        per_cell.groupBy(block)
-        .agg(F.sum(_LOCAL).alias("_in_block"))
-        .select(block, F.coalesce(F.sum("_in_block").over(over_blocks), F.lit(0)).alias("_before_block"))
-    )
-    offsets = (
-        per_cell.withColumn("_before_cell", F.coalesce(F.sum(_LOCAL).over(in_block), F.lit(0)))
-        .join(per_block, block)
-        .select(_CELL, (F.col("_before_cell") + F.col("_before_block")).alias(_EARLIER))
-    )
-    return (
-        cells.withColumn(_LOCAL, _inside(flag, here))
-        .join(offsets, _CELL, "left")
-        .withColumn(out, F.col(_LOCAL) + F.coalesce(_EARLIER, F.lit(0)) + base)
-        .drop(_CELL, _LOCAL, _EARLIER)
-    )
+    counted = running_count(df, [], order, flag, out, inclusive=True, cell_ms=cell_ms, cells_per_block=cells_per_block)
+    return counted.withColumn(out, F.col(out) + base)
