@@ -12,6 +12,7 @@ from footfall.operators.lookup import look_up
 POINTS_PER_SESSION = 100
 DECAY = "0.6"
 SCORE_TYPE = "decimal(22,1)"
+SCORE_SCHEMA = f"deviceid string, account string, score {SCORE_TYPE}, last_login bigint"
 
 
 def binding_events(log: DataFrame, literal: bool = False) -> DataFrame:

@@ -5,12 +5,34 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from footfall.operators.area import area_dictionary
-from footfall.sources import read_table, replace_table
+from footfall.sources import read_areas_jdbc, read_table, replace_table
 
 
-def run(spark: SparkSession, areas: str, dictionary: str) -> None:
+def run(
+    spark: SparkSession,
+    areas: str,
+    dictionary: str,
+    url: str | None = None,
+    properties_file: str | None = None,
+    lower: int = 0,
+    upper: int = 1_000_000,
+    read_partitions: int = 8,
+) -> None:
     """Rebuild the dictionary table from the area table.
 
-    Use ``sources.read_areas_jdbc`` with ``operators.area.area_dictionary`` to read from a database.
+    With ``url`` the area table is one of that database, read in ``read_partitions`` ranges of its id; the file
+    has a ``name=value`` line for each connection property (user, password, driver).
     """
-    replace_table(area_dictionary(read_table(spark, areas)), dictionary)
+    if url is None:
+        tree = read_table(spark, areas)
+    else:
+        tree = read_areas_jdbc(spark, url, areas, read_properties(properties_file), int(lower), int(upper), int(read_partitions))
+    replace_table(area_dictionary(tree), dictionary)
+
+
+def read_properties(path: str | None) -> dict[str, str]:
+    if path is None:
+        return {}
+    with open(path) as file:
+        pairs = [line.strip().partition("=") for line in file if "=" in line]
+    return {name.strip(): value.strip() for name, _, value in pairs}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.operators.binding import binding_events, daily_scores, merge_scores
+from footfall.operators.binding import SCORE_SCHEMA, binding_events, daily_scores, merge_scores
 from footfall.sources import append_days, overwrite_day, read_days
 
 
@@ -22,12 +22,15 @@ def run(
     day: str,
     append: bool = False,
     literal: bool = False,
+    first_run: bool = False,
 ) -> None:
     """Write day ``day`` of the score table from the log of that day and the scores of ``previous_day``.
 
-    The day is overwritten; ``append=True`` adds to it instead.
+    The day is overwritten; ``append=True`` adds to it instead.  With ``first_run`` there are no scores
+    before, and the score table need not exist.
     """
-    merged = build(read_days(spark, log, day), read_days(spark, scores, previous_day), literal)
+    before = spark.createDataFrame([], SCORE_SCHEMA) if first_run else read_days(spark, scores, previous_day)
+    merged = build(read_days(spark, log, day), before, literal)
     if append:
         append_days(merged.withColumn("dt", F.lit(day)), scores)
     else:

@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from footfall.operators import identity
 from footfall.operators.area import fits_broadcast, locate_events
-from footfall.operators.binding import fill_accounts
-from footfall.operators.clean import day_window, required_fields
+from footfall.operators.binding import SCORE_SCHEMA, fill_accounts
+from footfall.operators.clean import day_window, parse_properties, required_fields, strip_properties
 from footfall.operators.detail import DETAIL_COLUMNS, to_detail
 from footfall.operators.sessions import split_sessions
 from footfall.sources import Staging, append_days, overwrite_day, read_days, read_table, replace_table
 
 ROW_ID = "event_id"
-_PLACE, _CONTENT = "_place_in_log", "_content"
+PLACE, CONTENT = "_place_in_log", "_content"
 _KEY_COLUMNS = ("sessionId", "timeStamp", "deviceId", "account")
 
 
@@ -39,20 +39,21 @@ def build(
     log: DataFrame,
     inputs: Inputs,
     stage: Callable[[DataFrame, str], DataFrame],
-    from_day: str,
+    from_day: str | Column,
     to_day: str | None = None,
     zone: str = "UTC",
     row_id: str = ROW_ID,
     keep: tuple[str, ...] = (),
     ties: tuple[str, ...] = (),
+    broadcast_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Detail rows of ``[from_day, to_day)`` and the next guid store.
+    """Detail rows of ``[from_day, to_day)`` and the next guid store; ``from_day`` may be the column of each row's day.
 
     ``row_id`` is unique per row; ``ties``, then ``row_id``, break ties in time.  Session, account and guid are worked out on
     five narrow columns; the wide rows are shuffled once, by row id, to take the results over.  ``stage``
     writes the narrow results that several later steps read.
 
-    Areas are looked up on the wide rows while the lookup tables fit a broadcast, which moves no row.
+    Areas are looked up on the wide rows while the lookup tables fit a broadcast (``broadcast_rows`` in all), which moves no row.
     Beyond that bound the lookups shuffle, so they run on position and address alone and come back by
     row id, like the rest.
     """
@@ -66,7 +67,7 @@ def build(
     resolved = resolved.select(row_id, "splitedSessionId", "filledAccount", "guid", "isnew")
 
     wide = clean.drop("splitedSessionId", "filledAccount", "guid", "isnew")
-    if fits_broadcast(inputs.dictionary, inputs.ip_ranges):
+    if fits_broadcast(inputs.dictionary, inputs.ip_ranges, broadcast_rows):
         wide = locate_events(wide, inputs.dictionary, inputs.ip_ranges, small=True)
     else:
         places = locate_events(
@@ -85,9 +86,9 @@ def located_rows(raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -
     content = F.sha2(F.to_json(F.struct(*[p.alias(f"c{k}") for k, p in enumerate(parts)])), 256)
     place = F.concat_ws(".", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index"))
     try:
-        return raw.withColumns({_PLACE: place, _CONTENT: content})
+        return raw.withColumns({PLACE: place, CONTENT: content})
     except AnalysisException:  # not a scan of files
-        return stage(raw.withColumns({_PLACE: F.monotonically_increasing_id(), _CONTENT: content}), "log")
+        return stage(raw.withColumns({PLACE: F.monotonically_increasing_id(), CONTENT: content}), "log")
 
 
 def run(
@@ -102,9 +103,12 @@ def run(
     log_day: str,
     bind_day: str | None = None,
     out_day: str | None = None,
-    zone: str = "UTC",
+    zone: str | None = None,
     row_id: str | None = None,
     append: bool = False,
+    json_properties: bool = False,
+    obsolete: Sequence[str] = (),
+    first_run: bool = False,
 ) -> None:
     """Write day ``out_day`` of the detail table and the next version of the guid store.
 
@@ -113,22 +117,36 @@ def run(
     apart by where they lie in the log's files, so a log may hold rows twice; events of one time are put in
     order by ``row_id``, if the log has one, and by a digest of all columns, so the layout of the files does
     not matter.  A log whose source does not name places gets numbers in a staged copy.
+
+    Days are those of ``zone``, else of the session's time zone.  ``json_properties`` parses properties that are
+    JSON text; ``obsolete`` keys are taken out of them.  With ``first_run`` the store and the score table need
+    not exist: ids start at 1 and only accounts of the log itself are known.
     """
     if store == next_store:
         raise ValueError("the next store needs a location of its own, a rerun reads the old one")
     places = (log, dictionary, ip_ranges, scores, store, next_store, detail, log_day, bind_day or "", out_day or "")
     stage = Staging(spark, f"event-detail-{log_day}-{hashlib.sha256(chr(10).join(places).encode()).hexdigest()[:16]}")
     raw = located_rows(read_days(spark, log, log_day), stage)
-    guid_store = read_table(spark, store)
+    if json_properties:
+        raw = parse_properties(raw)
+    if first_run:
+        guid_store = spark.createDataFrame([], identity.STORE_SCHEMA)
+        known_scores = spark.createDataFrame([], SCORE_SCHEMA)
+    else:
+        guid_store = read_table(spark, store)
+        known_scores = read_days(spark, scores, bind_day or log_day)
     inputs = Inputs(
         dictionary=read_table(spark, dictionary),
         ip_ranges=read_table(spark, ip_ranges),
-        scores=read_days(spark, scores, bind_day or log_day),
+        scores=known_scores,
         store=guid_store,
         base=identity.stored_counter(guid_store),
     )
-    ties = (row_id, _CONTENT) if row_id else (_CONTENT,)
-    rows, new_store = build(raw, inputs, stage, log_day, zone=zone, row_id=_PLACE, ties=ties)
+    ties = (row_id, CONTENT) if row_id else (CONTENT,)
+    zone = zone or spark.conf.get("spark.sql.session.timeZone")
+    rows, new_store = build(raw, inputs, stage, log_day, zone=zone, row_id=PLACE, ties=ties)
+    if obsolete:
+        rows = strip_properties(rows, obsolete)
     replace_table(new_store, next_store)
     if append:
         append_days(rows.withColumn("dt", F.lit(out_day or log_day)), detail)

@@ -29,7 +29,15 @@ def run(
     dims: Sequence[str] = DIMS,
     measures: Sequence[str] = MEASURES,
     visitor: str = "guid",
+    report_dims: Sequence[str] = (),
+    rolled_up: str | None = None,
 ) -> DataFrame:
-    """Store the base cuboid of a CSV log and return it, read back."""
+    """Store the base cuboid of a CSV log and return it, read back.
+
+    With ``rolled_up`` its roll-up over ``report_dims`` is stored there too.
+    """
     replace_table(base_cuboid(read_csv(spark, page_views), dims, visitor, measures), cuboid)
-    return read_table(spark, cuboid)
+    stored = read_table(spark, cuboid)
+    if rolled_up is not None:
+        replace_table(report(stored, report_dims, measures), rolled_up)
+    return stored

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators.area import (
@@ -7,10 +8,11 @@ from footfall.operators.area import (
     fits_broadcast,
     flatten_areas,
     locate_by_ip,
+    locate_by_position,
     locate_events,
     unique_geohashes,
 )
-from helpers import plan, rows
+from helpers import ordered, plan, rows
 
 AREAS = [
     (1, None, 1, "P1", None, None), (2, 1, 2, "C1", None, None), (3, 2, 3, "R1", None, None),
@@ -73,7 +75,8 @@ def test_position_first_then_ip_else_nothing(spark):
     }
 
 
-def test_ip_ranges_of_all_widths_against_a_scan(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_ip_ranges_of_all_widths_against_a_scan(spark, small):
     rng = random.Random(3)
     ranges, lo = [], 0
     while lo < 2**32:
@@ -84,7 +87,7 @@ def test_ip_ranges_of_all_widths_against_a_scan(spark):
     edges = [v for lo, hi, _ in rng.sample(ranges, 60) for v in (lo, hi, lo - 1, hi + 1)]
     numbers = [v for v in edges if 0 <= v < 2**32] + [rng.randrange(2**32) for _ in range(200)] + [None]
     log = spark.createDataFrame([(n,) for n in numbers], "n bigint")
-    got = locate_by_ip(log, spark.createDataFrame(ranges, IP_SCHEMA), "n").collect()
+    got = locate_by_ip(log, spark.createDataFrame(ranges, IP_SCHEMA), "n", small=small).collect()
     assert len(got) == len(numbers)
     for n, region in got:
         expected = [name for lo, hi, name in ranges if n is not None and lo <= n <= hi]
@@ -105,3 +108,38 @@ def test_broadcast_bound_counts_the_buckets(spark):
     assert fits_broadcast(dictionary.limit(0), ranges.limit(0), 0)
     log = spark.range(10).selectExpr("id as i", "id * 1D as latitude", "id * 2D as longitude", "concat('1.1.1.', id) as ip")
     assert plan(locate_events(log, dictionary, ranges, small=True)).count("BroadcastHashJoin LeftOuter") == 4
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_overlapping_ranges_keep_every_row_one_row(spark, small):
+    rng = random.Random(5)
+    ranges = [(lo, lo + rng.choice([0, 40, 300, 5_000, 2**21]), f"r{k}") for k, lo in enumerate(rng.choices(range(0, 9_000, 50), k=60))]
+    ranges += [(*ranges[0][:2], "twin"), (500, 400, "backwards"), (None, 5, "open"), (5, None, "open")]
+    numbers = [rng.randrange(10_000) for _ in range(300)] + [7] * 50 + [None] * 20
+    log = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    got = locate_by_ip(log, spark.createDataFrame(ranges, IP_SCHEMA), "n", small=small)
+    whole = [r for r in ranges if None not in r]
+
+    def held(n):
+        fits = [(lo, -hi, name) for lo, hi, name in whole if n is not None and lo <= n <= hi]
+        return max(fits)[2] if fits else None
+
+    assert rows(got) == ordered([(n, held(n)) for n in numbers])
+
+
+def test_rows_without_a_key_go_past_the_joins(spark):
+    log = spark.createDataFrame([(1.0, 2.0, 5), (None, None, None)], "latitude double, longitude double, n bigint")
+    dictionary = spark.createDataFrame([("g", "p", "c", "r")], "geohash string, province string, city string, region string")
+    ranges = spark.createDataFrame([(0, 255, "one")], IP_SCHEMA)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_position, by_ip = locate_by_position(log, dictionary), locate_by_ip(log, ranges, "n")
+        trees = [plan(found).split("\n\n")[0] for found in (by_position, by_ip)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for tree in trees:
+        assert "NestedLoop" not in tree and "CartesianProduct" not in tree
+        joined, bare = tree.split("SortMergeJoin LeftOuter")[1].split("\n   +- Project")
+        assert "Filter" in joined.split("Sort")[1] and "Union" in tree and "Join" not in bare and "Exchange" not in bare
+    assert by_position.where("latitude is null").count() == 1 and rows(by_ip, "n", "ip_region") == [(5, "one"), (None, None)]

@@ -62,7 +62,7 @@ def warehouse(spark, tmp_path_factory):
 def run_detail(spark, root, day, store, following, out="detail", **options):
     event_detail.run(
         spark, log=f"{root}/log", dictionary=f"{root}/dictionary", ip_ranges=f"{root}/ranges", scores=f"{root}/scores",
-        store=f"{root}/{store}", next_store=f"{root}/{following}", detail=f"{root}/{out}", log_day=day, **options,
+        store=f"{root}/{store}", next_store=f"{root}/{following}", detail=f"{root}/{out}", log_day=day, **{"zone": "UTC", **options},
     )
     return read_table(spark, f"{root}/{out}").where(F.col("dt").cast("string") == options.get("out_day", day))
 
@@ -181,3 +181,39 @@ def test_append_adds_a_second_copy(spark, warehouse):
     assert copies.count() == 2 * run_detail(
         spark, root, "2021-02-01", "store-0", "store-z", out="single", row_id="event_id", bind_day="2021-01-31"
     ).count()
+
+
+def test_first_day_needs_no_tables_before(spark, folder, warehouse):
+    log = read_table(spark, f"{warehouse}/log")
+    text = log.withColumn("properties", F.to_json(F.map_concat("properties", F.create_map(F.lit("old"), F.lit("x")))))
+    overwrite_days(text.withColumn("dt", F.col("dt").cast("string")), f"{folder}/log")
+    device_binding.run(spark, f"{folder}/log", f"{folder}/scores", "2021-01-31", "2021-02-01", first_run=True)
+    assert read_table(spark, f"{folder}/scores").count() > 0
+    replace_table(read_table(spark, f"{warehouse}/dictionary"), f"{folder}/dictionary")
+    replace_table(read_table(spark, f"{warehouse}/ranges"), f"{folder}/ranges")
+    options = {"first_run": True, "json_properties": True, "obsolete": ["old"]}
+    got = run_detail(spark, folder, "2021-02-01", "no-store", "store-1", **options)
+    assert rows(got.select(F.map_keys("properties")).distinct()) == [(["k"],)]
+    assert got.where("guid < 1 or isnew <> 1").count() == 0 and got.agg(F.min("guid")).first()[0] == 1
+    assert spark.read.parquet(f"{folder}/store-1").where("kind = 'C'").first()["guid"] == got.agg(F.max("guid")).first()[0]
+
+
+def test_days_are_those_of_the_session_unless_named(spark, warehouse):
+    mine = run_detail(spark, warehouse, "2021-02-01", "store-0", "store-n", out="zoned", bind_day="2021-01-31", zone=None)
+    start = DAY + 5 * 3_600_000  # New York
+    assert mine.count() > 0 and mine.where(f"timeStamp < {start} or timeStamp >= {start + 86_400_000}").count() == 0
+
+
+def test_area_job_reads_a_database_when_one_is_named(spark, folder, warehouse, monkeypatch):
+    asked = {}
+
+    def read(spark, url, table, properties, lower, upper, partitions):
+        asked.update(url=url, table=table, properties=properties, bounds=(lower, upper, partitions))
+        return read_table(spark, f"{warehouse}/areas")
+
+    monkeypatch.setattr(area_dictionary, "read_areas_jdbc", read)
+    with open(f"{folder}/connection", "w") as file:
+        file.write("user = reader\npassword=a=b\n\n")
+    area_dictionary.run(spark, "areas", f"{folder}/dictionary", url="jdbc:x:y", properties_file=f"{folder}/connection", upper="9", read_partitions="2")
+    assert asked == {"url": "jdbc:x:y", "table": "areas", "properties": {"user": "reader", "password": "a=b"}, "bounds": (0, 9, 2)}
+    assert rows(read_table(spark, f"{folder}/dictionary")) == [("s00000", "P", "C", "R")]

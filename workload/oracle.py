@@ -6,7 +6,7 @@ bitmaps, a join on BETWEEN where they use buckets.
 
 from __future__ import annotations
 
-from workload.derived import CHECK_CTES, DEVICE_NO, FIRST_DAY, GUID_BASE, MIDDLE_DAY
+from workload.derived import CHECK_CTES, FIRST_DAY, GUID_BASE, MIDDLE_DAY
 from workload.queries import TARGET, TOUCHPOINTS
 
 BLANK = r"'^\s*$'"
@@ -20,8 +20,6 @@ CTES["complete_log"] = rf"""select * from parsed_log
         and not regexp_full_match(coalesce("sessionId", ''), '\s*') and properties is not null"""
 CTES["clean_log"] = """select * from complete_log
         where "timeStamp" >= epoch_ms(cast(dt as timestamp)) and "timeStamp" < epoch_ms(cast(dt as timestamp)) + 86400000"""
-CTES["month_log"] = """select * from complete_log where "timeStamp" >= epoch_ms(timestamp '2024-01-01')
-        and "timeStamp" < epoch_ms(timestamp '2024-01-31')"""
 
 
 def split_cte(source: str) -> str:
@@ -108,7 +106,11 @@ def guid_ctes(rows: str) -> dict[str, str]:
 
 OWN_ACCOUNT_ROWS = """select event_id, "timeStamp" ts, "deviceId" dev, nullif(account, '') acc from clean_log"""
 FILLED_ROWS = f"""select event_id, "timeStamp" ts, m."deviceId" dev, coalesce(nullif(m.account, ''), b.account) acc
-    from month_log m left join ({best_sql(scores_sql(f"{DEVICE_NO} % 3 = 0"))}) b on m."deviceId" = b.deviceid"""
+    from clean_log m left join ({best_sql(scores_sql())}) b on m."deviceId" = b.deviceid"""
+
+DETAIL = f"""select s.event_id, nullif(s.account, '') account, s."deviceId", s."eventId", s.split_id "splitedSessionId",
+        g.acc "filledAccount", p.province, p.city, p.region, g.guid, cast(g.guid > {GUID_BASE} as integer) isnew, s.properties prop_k
+    from split_log s join g_all g on s.event_id = g.event_id join place p on s.event_id = p.event_id"""
 
 EVENT_NAMES = ", ".join(f"'{name}'" for name in (TARGET, *TOUCHPOINTS))
 SEGMENTS = {
@@ -162,8 +164,8 @@ def merged_sql(account: str, same_account: str, decayed: str) -> str:
 def build() -> dict[str, str]:
     own, filled = guid_ctes(OWN_ACCOUNT_ROWS), guid_ctes(FILLED_ROWS)
     null_safe = "t.account is not distinct from b.account"
-    month = {**filled, "split_log": split_cte("month_log")}
     cleaned = {"split_log": split_cte("clean_log")}
+    whole = {**filled, **cleaned, "detail": DETAIL}
     return {
         "parsed_properties": with_ctes(
             "select event_id, case when properties is not null then 'k' end prop_keys, properties prop_k from parsed_log"
@@ -193,6 +195,13 @@ def build() -> dict[str, str]:
         "area_tree": with_ctes("select geohash, province, city, region from area_dict"),
         "located_by_position": with_ctes("select event_id, province, city, region from gps"),
         "located_by_ip": with_ctes("select event_id, ip, ip_region from ip_hit"),
+        "located_by_ip_overlap": with_ctes(
+            """select event_id, ip, region ip_region from (
+                select i.event_id, i.ip, r.region, row_number() over (partition by i.event_id order by r.lo desc, r.hi, r.region desc) place
+                from ip_no i left join (select lo, hi, region from ip_ranges
+                    union all select lo - 5000, hi + 70000, concat('around ', region) from ip_ranges) r on i.n between r.lo and r.hi)
+            where place = 1"""
+        ),
         "located_events": with_ctes("select event_id, province, city, region from place"),
         "daily_scores": with_ctes(scores_sql()),
         "merged_scores": with_ctes(merged_sql("nullif(account, '')", null_safe, "round(b.score * 0.6, 1)")),
@@ -257,12 +266,10 @@ def build() -> dict[str, str]:
             union all select deviceid, account, score, last_login, '{MIDDLE_DAY}'
                 from ({merged_sql("nullif(account, '')", null_safe, "round(b.score * 0.6, 1)")}) m"""
         ),
-        "detail_job": with_ctes(
-            f"""select s.event_id, nullif(s.account, '') account, s."deviceId", s."eventId", s.split_id "splitedSessionId",
-                g.acc "filledAccount", p.province, p.city, p.region, g.guid, cast(g.guid > {GUID_BASE} as integer) isnew,
-                s.properties prop_k
-            from split_log s join g_all g on s.event_id = g.event_id join place p on s.event_id = p.event_id""",
-            month,
+        "detail_job": with_ctes("select * from detail", whole),
+        **dict.fromkeys(
+            ("detail_job_repeated", "detail_job_repeated_shuffled"),
+            with_ctes("select * from detail union all select * from detail where event_id % 10 = 0", whole),
         ),
         "detail_job_store": with_ctes("select kind, k, guid from g_store", filled),
         "attribution_job": with_ctes(f"select *, '{FIRST_DAY}' dt from ({WEIGHTS}) w", SEGMENTS),

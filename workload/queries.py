@@ -109,6 +109,14 @@ def located_by_ip(spark, sf_dir):
     return area.locate_by_ip(log, d.ip_ranges(spark, sf_dir), "ip_no").select("event_id", "ip", "ip_region")
 
 
+def located_by_ip_overlap(spark, sf_dir):
+    """Every range lies inside one that starts earlier, and within a tier ranges reach into each other."""
+    log = d.event_log(spark, sf_dir).withColumn("ip_no", fn.ipv4_to_long("ip"))
+    own = d.ip_ranges(spark, sf_dir)
+    wider = own.select((F.col("lo") - 5000).alias("lo"), (F.col("hi") + 70_000).alias("hi"), F.concat(F.lit("around "), "region").alias("region"))
+    return area.locate_by_ip(log, own.unionByName(wider), "ip_no").select("event_id", "ip", "ip_region")
+
+
 def located_events(spark, sf_dir):
     dictionary = area.area_dictionary(d.areas(spark, sf_dir))
     rows = area.locate_events(d.event_log(spark, sf_dir), dictionary, d.ip_ranges(spark, sf_dir))
@@ -329,27 +337,62 @@ def binding_job(spark, sf_dir):
     )
 
 
-def _detail(spark, sf_dir, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """The whole month as one batch, from tables as the job finds them."""
-    stage = Staging(spark)
-    log = clean.parse_properties(d.event_log(spark, sf_dir)).drop("user_id", "value", "dt")
-    inputs = event_detail.Inputs(
+def _detail_inputs(spark, sf_dir, stage) -> event_detail.Inputs:
+    """What the job reads besides the log, from tables as the job finds them."""
+    return event_detail.Inputs(
         dictionary=stage(area.area_dictionary(d.areas(spark, sf_dir)), "dictionary"),
         ip_ranges=stage(d.ip_ranges(spark, sf_dir), "ip_ranges"),
-        scores=_scores(spark, sf_dir, f"{d.DEVICE_NO} % 3 = 0"),
+        scores=_scores(spark, sf_dir),
         store=stage(d.guid_store(spark, sf_dir), "store"),
         base=d.GUID_BASE,
     )
-    return event_detail.build(stage(log, "log"), inputs, stage, d.FIRST_DAY, d.END_DAY, keep=keep)
 
 
-def detail_job(spark, sf_dir):
-    return _detail(spark, sf_dir, keep=("event_id",))[0].select(
+def _raw_log(spark, sf_dir) -> DataFrame:
+    return clean.parse_properties(d.event_log(spark, sf_dir)).drop("user_id", "value")
+
+
+def _detail(spark, sf_dir, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The whole month as one batch; every row has to lie in the day it is filed under."""
+    stage = Staging(spark)
+    log, inputs = stage(_raw_log(spark, sf_dir), "log"), _detail_inputs(spark, sf_dir, stage)
+    return event_detail.build(log, inputs, stage, F.col("dt"), keep=keep)
+
+
+def _shown(detail: DataFrame) -> DataFrame:
+    return detail.select(
         "event_id", "account", "deviceId", "eventId", "splitedSessionId", "filledAccount",
         "province", "city", "region", "guid", "isnew", F.col("properties")["k"].alias("prop_k"),
     )
 
 
+def detail_job(spark, sf_dir):
+    return _shown(_detail(spark, sf_dir, keep=("event_id",))[0])
+
+
+def _detail_repeated(spark, sf_dir, broadcast_rows: int | None = None) -> DataFrame:
+    """A tenth of the log arrives twice; rows are known by their place in the files."""
+    stage = Staging(spark)
+    log = _raw_log(spark, sf_dir)
+    stored = stage(log.unionByName(log.where("event_id % 10 = 0")), "log")
+    rows = event_detail.located_rows(stored, stage)
+    inputs = _detail_inputs(spark, sf_dir, stage)
+    detail, _ = event_detail.build(
+        rows, inputs, stage, F.col("dt"), row_id=event_detail.PLACE, ties=("event_id", event_detail.CONTENT),
+        keep=("event_id",), broadcast_rows=broadcast_rows,
+    )
+    return _shown(detail)
+
+
+def detail_job_repeated(spark, sf_dir):
+    return _detail_repeated(spark, sf_dir)
+
+
+def detail_job_repeated_shuffled(spark, sf_dir):
+    """The same beyond the broadcast bound."""
+    return _detail_repeated(spark, sf_dir, broadcast_rows=0)
+
+
 def detail_job_store(spark, sf_dir):
     return _detail(spark, sf_dir)[1]
 
@@ -407,13 +450,13 @@ ALL: dict[str, Query] = {
     for query in (
         parsed_properties, required_fields, day_window, blank_account, detail_projection, calendar_days,
         split_sessions, sessions_over_days,
-        geohash, ip_number, area_tree, located_by_position, located_by_ip, located_events,
+        geohash, ip_number, area_tree, located_by_position, located_by_ip, located_by_ip_overlap, located_events,
         daily_scores, merged_scores, merged_scores_literal, best_accounts, filled_accounts,
         assigned_guids, new_visitors, next_guid_store, dense_numbers,
         event_lists, event_segments, linear_attribution, linear_attribution_converted,
         visitor_bitmaps, united_bitmaps, bitmap_cardinality, base_cuboid, cube_rollup, cube_rollup_twice,
         encrypted_column, decrypted_column, protection_job,
-        overwritten_days, emptied_day, appended_days, area_job, binding_job, detail_job, detail_job_store,
+        overwritten_days, emptied_day, appended_days, area_job, binding_job, detail_job, detail_job_repeated, detail_job_repeated_shuffled, detail_job_store,
         attribution_job, cube_job, ordered_events, sql_functions, sql_cube,
     )
 }
