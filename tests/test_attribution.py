@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 
 from footfall.operators.attribution import MODEL, STRATEGY, event_lists, event_segments, linear_weights, ordered_events
-from helpers import ordered, rows
+from helpers import ordered, plan, rows
 
 SCHEMA = "guid bigint, timeStamp bigint, eventId string"
 USERS = {1: "abbTacTc", 2: "aTT", 3: "a", 4: "T"}
@@ -50,12 +50,13 @@ def walked(users_events):
     return ordered(out)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_equals_a_walk_with_one_hot_user(spark, seed):
+@pytest.mark.parametrize("seed, span", [(0, 200_000), (1, 200_000), (2, 20_000_000), (3, 900)])
+def test_equals_a_walk_with_one_hot_user(spark, seed, span):
+    """Over minutes, hours, and in a burst shorter than a cell."""
     rng = random.Random(seed)
     users = defaultdict(list)
     for _ in range(800):
-        users[0 if rng.random() < 0.4 else rng.randrange(1, 20)].append((rng.randrange(200_000), rng.choice("aabbcT")))
+        users[0 if rng.random() < 0.4 else rng.randrange(1, 20)].append((rng.randrange(-span // 2, span), rng.choice("aabbcT")))
     data = [(guid, ts, name) for guid, events in users.items() for ts, name in events]
     segments = event_segments(spark.createDataFrame(data, SCHEMA), "T", ("a", "b", "c"))
     got = [(r["guid"], r["attr_event"], round(r["weight"], 6)) for r in linear_weights(segments, "T").collect()]
@@ -76,3 +77,19 @@ def test_lists_come_in_order_and_whole(spark):
 def test_positions(spark):
     df = spark.createDataFrame([(1, 1000, "b"), (1, 999, "z"), (1, 1000, "a"), (2, 5, "q")], SCHEMA)
     assert rows(ordered_events(df), "guid", "position", "eventId") == [(1, 1, "z"), (1, 2, "a"), (1, 3, "b"), (2, 1, "q")]
+
+
+def test_a_hot_segment_is_split_by_the_plan(spark):
+    data = spark.createDataFrame([(1, 5, "a"), (1, 6, "T")], SCHEMA)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(linear_weights(event_segments(data, "T", ("a",)), "T"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = [part for part in text.split("\n\n") if ") SortMergeJoin" in part and "segment" in part]
+    assert joins and all("_cell" in line for part in joins for line in part.split("\n") if " keys [" in line)
+    # What meets in a window of a whole segment or user is one summary row per cell or block.
+    for part in text.split("\n\n"):
+        if ") Window" in part and "_cell" not in part.split("Arguments")[1].split("],")[1]:
+            assert "eventId" not in part
