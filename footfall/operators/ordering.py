@@ -2,11 +2,11 @@
 
 A plain ``Window.partitionBy(key)`` puts every row of a key into one task.  The operators here cut a
 key into time cells: rows are numbered inside (key, cell), the cells of a key are summed up in order,
-first inside blocks of cells and then over the blocks, and the running total of the earlier cells is
-joined back.  A key is then spread over as many tasks as it has cells, and only one summary row per
-block ever meets the others of its key.  Cells are a pure function of the row, so nothing is sampled
-and a lost executor recomputes the same pieces.  Rows of a key with one and the same timestamp are in
-one cell whatever its width.
+and the running total of the earlier cells is joined back.  A key is then spread over as many tasks
+as it has cells, and only one summary row per cell, at most 86,400 a day, ever meets the others of its
+key.  For spans of years the totals can be summed up in blocks of cells first, and then over the blocks.
+Cells are a pure function of the row, so nothing is sampled and a lost executor recomputes the same
+pieces.  Rows of a key with one and the same timestamp are in one cell whatever its width.
 """
 
 from __future__ import annotations
@@ -40,9 +40,12 @@ def _before(column: str, window: W) -> Column:
     return F.coalesce(F.sum(column).over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
 
 
-def _earlier_totals(cells: DataFrame, keys: Sequence[str], flag: Column, cells_per_block: int) -> DataFrame:
+def _earlier_totals(cells: DataFrame, keys: Sequence[str], flag: Column, cells_per_block: int | None) -> DataFrame:
     """``_earlier`` of each (key, cell): the rows with ``flag`` in the cells of the key before it."""
-    per_cell = cells.groupBy(*keys, CELL).agg(F.count_if(flag).alias(_LOCAL)).withColumn(_BLOCK, _floor_div(CELL, cells_per_block))
+    per_cell = cells.groupBy(*keys, CELL).agg(F.count_if(flag).alias(_LOCAL))
+    if cells_per_block is None:
+        return per_cell.select(*keys, CELL, _before(_LOCAL, W.partitionBy(*keys).orderBy(CELL)).alias(_EARLIER))
+    per_cell = per_cell.withColumn(_BLOCK, _floor_div(CELL, cells_per_block))
     per_block = (
         per_cell.groupBy(*keys, _BLOCK)
         .agg(F.sum(_LOCAL).alias("_in_block"))
@@ -63,12 +66,13 @@ def running_count(
     out: str,
     inclusive: bool = False,
     cell_ms: int = CELL_MS,
-    cells_per_block: int = CELLS_PER_BLOCK,
+    cells_per_block: int | None = None,
 ) -> DataFrame:
     """Add ``out``: how many rows with ``flag`` come before the row (or up to it) within ``keys``.
 
     ``order`` starts with a timestamp in milliseconds and should order the rows of a key totally.
-    Keys and timestamps must not be null.  Without keys all rows are one sequence.
+    Keys and timestamps must not be null.  Without keys all rows are one sequence.  ``cells_per_block`` adds
+    the level of blocks, at the price of two more shuffles of summary rows.
     """
     cells = with_cell(df, order[0], cell_ms)
     here = W.partitionBy(*keys, CELL).orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)

@@ -74,7 +74,7 @@ def test_running_count_equals_a_plain_scan(spark):
             upto[i] = count + flag
         df = spark.createDataFrame(events, "key string, ts bigint, i int, flag boolean")
         df = running_count(df, ["key"], ["ts", "i"], F.col("flag"), "before", cell_ms=100)
-        df = running_count(df, ["key"], ["ts", "i"], F.col("flag"), "upto", inclusive=True, cell_ms=70)
+        df = running_count(df, ["key"], ["ts", "i"], F.col("flag"), "upto", inclusive=True, cell_ms=70, cells_per_block=6)
         df = row_positions(df, ["key"], ["ts", "i"], "place", cell_ms=300)
         got = {r["i"]: (r["before"], r["upto"], r["place"]) for r in df.collect()}
         assert got == {i: (before[i], upto[i], place[i]) for i in before}
