@@ -54,8 +54,8 @@ def build(
     writes the narrow results that several later steps read.
 
     Areas are looked up on the wide rows while the lookup tables fit a broadcast (``broadcast_rows`` in all), which moves no row.
-    Beyond that bound the lookups shuffle, so they run on position and address alone and come back by
-    row id, like the rest.
+    Beyond that bound the lookups shuffle, so they run on position and address alone, staged because the
+    lookups read them several times, and come back by row id, like the rest.
     """
     clean = to_detail(day_window(required_fields(log), from_day, to_day, zone=zone), keep=(row_id, *ties, *keep))
     keys = split_sessions(clean.select(row_id, *ties, *_KEY_COLUMNS))
@@ -70,9 +70,8 @@ def build(
     if fits_broadcast(inputs.dictionary, inputs.ip_ranges, broadcast_rows):
         wide = locate_events(wide, inputs.dictionary, inputs.ip_ranges, small=True)
     else:
-        places = locate_events(
-            clean.select(row_id, "latitude", "longitude", "ip"), inputs.dictionary, inputs.ip_ranges
-        )
+        positions = stage(clean.select(row_id, "latitude", "longitude", "ip"), "positions")
+        places = locate_events(positions, inputs.dictionary, inputs.ip_ranges)
         wide = wide.drop("province", "city", "region").join(
             places.select(row_id, "province", "city", "region"), row_id
         )

@@ -119,7 +119,9 @@ def located_by_ip_overlap(spark, sf_dir):
 
 def located_events(spark, sf_dir):
     dictionary = area.area_dictionary(d.areas(spark, sf_dir))
-    rows = area.locate_events(d.event_log(spark, sf_dir), dictionary, d.ip_ranges(spark, sf_dir))
+    ranges = d.ip_ranges(spark, sf_dir)
+    small = area.fits_broadcast(dictionary, ranges)
+    rows = area.locate_events(d.event_log(spark, sf_dir), dictionary, ranges, small=small)
     return rows.select("event_id", "province", "city", "region")
 
 
