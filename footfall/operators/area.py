@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions import geohash6, ipv4_to_long, is_not_blank
@@ -128,8 +129,8 @@ def locate_by_ip(
     A range join is turned into equi-joins on address buckets; the bucket width follows the width of the
     range, in three tiers.  So a range is repeated 17 times at most (256 for those of 2^20 addresses and
     more), and of ranges that do not overlap an address meets at most 256 narrow, 18 middle and 18 wide
-    ones.  ``small=True``, after :func:`fits_broadcast`, keeps the log where it is: each bucket is one
-    broadcast row with its ranges.  Otherwise the distinct addresses of the log are looked up, and the
+    ones.  ``small=True``, after :func:`fits_broadcast`, keeps the log where it is: the ranges are
+    broadcast.  Otherwise the distinct addresses of the log are looked up, and the
     log is joined once to what they found; rows without an address go past that join.
     """
     rank = F.struct("lo", (-F.col("hi")).alias("minus_hi"), F.col(value).alias("value"))
@@ -138,13 +139,31 @@ def locate_by_ip(
     return _by_buckets(log, placed, ip_number, out) if small else _by_addresses(log, placed, ip_number, out)
 
 
+def _overlap(placed: DataFrame) -> bool:
+    """Whether two ranges of a tier overlap; reads the ranges only."""
+    earlier = W.partitionBy("_shift", "_bucket").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    reach = F.max(-F.col("_range.minus_hi")).over(earlier)
+    return not placed.select(reach.alias("_reach"), "_range.lo").where("_reach >= lo").isEmpty()
+
+
 def _by_buckets(log: DataFrame, placed: DataFrame, ip_number: str, out: str) -> DataFrame:
-    address, hits = F.col(ip_number), []
+    """Without overlaps a plain join, which is compiled; else each bucket is one row, searched as an array."""
+    address, hits, overlap = F.col(ip_number), [], _overlap(placed)
+
+    def holds(r: Column) -> Column:
+        return address.between(r["lo"], -r["minus_hi"])
+
     for shift in _TIER_SHIFTS:
         bucket, held = f"_bucket{shift}", f"_ranges{shift}"
-        side = placed.where(F.col("_shift") == shift).groupBy(F.col("_bucket").alias(bucket)).agg(F.collect_list("_range").alias(held))
-        log = log.join(F.broadcast(side), F.shiftright(address, shift) == F.col(bucket), "left").drop(bucket)
-        hits.append(F.array_max(F.filter(held, lambda r: address.between(r["lo"], -r["minus_hi"]))))
+        side = placed.where(F.col("_shift") == shift).select(F.col("_bucket").alias(bucket), F.col("_range").alias(held))
+        same = F.shiftright(address, shift) == F.col(bucket)
+        if overlap:
+            side = side.groupBy(bucket).agg(F.collect_list(held).alias(held))
+            hits.append(F.array_max(F.filter(held, holds)))
+        else:
+            same = same & holds(F.col(held))
+            hits.append(F.col(held))
+        log = log.join(F.broadcast(side), same, "left").drop(bucket)
     return log.withColumn(out, F.array_max(F.array(*hits))["value"]).drop(*[f"_ranges{shift}" for shift in _TIER_SHIFTS])
 
 
