@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import without
+from footfall.llm.tables import put_back, set_aside, without
 
 #: Rates are broadcast up to so many sources (some tens of bytes each); beyond, they are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
@@ -80,9 +80,9 @@ def mix(
     document of a source with rate zero gets no copy.
     """
     spark = docs.sparkSession
-    docs = without(docs, ["copy", "shuffle_key"])
-    names = [F.col(f"`{c}`") for c in docs.columns]
     known = rates(docs, weights, epochs, source)
+    docs, names = set_aside(without(docs, ["copy", "shuffle_key"]))
+    source, doc_id, text = names[source], names[doc_id], names[text]
     keyed = docs.withColumn("_key", _tagged(F.col(source)))
     if known.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rated = keyed.join(F.broadcast(known.select("_key", "rate")), "_key")
@@ -98,7 +98,8 @@ def mix(
     row = F.xxhash64(F.col(doc_id), F.xxhash64(F.col(text)))
     counted = rated.withColumn("_row", row).withColumn("_n", draw("rate", _uniform(F.xxhash64("_row", F.lit(seed), F.lit("draw")))))
     copies = F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
-    spread = counted.select(*names, "_row", copies.alias("copy")).withColumn("shuffle_key", F.xxhash64("_row", F.lit(seed), "copy"))
+    spread = counted.select(*names.values(), "_row", copies.alias("copy")).withColumn("shuffle_key", F.xxhash64("_row", F.lit(seed), "copy"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = F.floor((F.shiftright(F.col("shuffle_key"), 11) * F.lit(2.0**-53) + 0.5) * parts).cast("int")
-    return spread.drop("_row").repartitionById(parts, F.least(at, F.lit(parts - 1))).sortWithinPartitions("shuffle_key", doc_id, "copy")
+    dealt = spread.drop("_row").repartitionById(parts, F.least(at, F.lit(parts - 1))).sortWithinPartitions("shuffle_key", doc_id, "copy")
+    return dealt.select(*put_back(names), "copy", "shuffle_key")

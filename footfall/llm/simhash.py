@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components, lowest_reachable
-from footfall.llm.tables import look_up_hot, without
+from footfall.llm.tables import look_up_hot, put_back, set_aside
 from footfall.sources.staging import Staging
 
 SHINGLE_WORDS = 4
@@ -185,6 +185,8 @@ def one_of_each(docs: DataFrame, stage: Staging, doc_id: str = "doc_id", text: s
     Rows without an id come after all others.  Rows with the same id are told apart by their text; of rows
     equal in both, any one stays.  All columns are carried along.
     """
+    docs, names = set_aside(docs)
+    doc_id, text = names[doc_id], names[text]
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     prints = stage(docs.select(F.col(doc_id).alias("doc_id"), digest.alias("_digest"), fingerprint(F.col(text)).alias("fp")), "prints")
     rooted = look_up_hot(prints, classes(prints, stage), "fp", "copies")
@@ -192,7 +194,7 @@ def one_of_each(docs: DataFrame, stage: Staging, doc_id: str = "doc_id", text: s
     kept = stage(best.select(F.col("best.doc_id").alias("_kept_id"), F.col("best._digest").alias("_kept_digest")), "kept")
     keyed = docs.withColumn("_digest", digest)
     same = F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, "_digest"]).drop("_digest")
+    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, "_digest"]).select(*put_back(names))
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -18,6 +18,17 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with numbered column names, which no column an operator adds clashes with, and the new name of each column."""
+    names = {c: f"_{k}" for k, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def put_back(names: dict[str, str]) -> list[Column]:
+    """The columns set aside, under the names they had."""
+    return [F.col(n).alias(c) for c, n in names.items()]
+
+
 def held_out(doc_id: str, folds: int, fold: int) -> Column:
     """Whether the checksum of the id as text falls into the fold; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
