@@ -119,7 +119,8 @@ def run(
 
     Days are those of ``zone``, else of the session's time zone.  ``json_properties`` parses properties that are
     JSON text; ``obsolete`` keys are taken out of them.  With ``first_run`` the store and the score table need
-    not exist: ids start at 1 and only accounts of the log itself are known.
+    not exist: ids start at 1 and only accounts of the log itself are known.  What the run stages is named by all
+    its locations and removed once both tables are written; a failed run leaves it for its rerun to replace.
     """
     if store == next_store:
         raise ValueError("the next store needs a location of its own, a rerun reads the old one")
@@ -151,3 +152,4 @@ def run(
         append_days(rows.withColumn("dt", F.lit(out_day or log_day)), detail)
     else:
         overwrite_day(rows, detail, out_day or log_day)
+    stage.remove()

@@ -28,7 +28,8 @@ class Staging:
     """Writes intermediate results of one run as parquet and reads them back.
 
     This cuts lineage, so a lost executor re-reads files instead of repeating shuffles, and later steps
-    get column pruning and real sizes.  The same ``run_id`` writes the same paths again.
+    get column pruning and real sizes.  The same ``run_id`` writes the same paths again.  A job that has
+    written its outputs calls ``remove``; whoever hands on a DataFrame cannot, it is still to be read.
     """
 
     def __init__(self, spark: SparkSession, run_id: str | None = None):
@@ -41,3 +42,9 @@ class Staging:
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self.location(name))
         return self.spark.read.schema(df.schema).parquet(self.location(name))
+
+    def remove(self) -> None:
+        """Delete all that this run has staged; nothing staged is no error."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,6 @@
 """The jobs over tables, from the area tree to attribution."""
 
+import os
 import random
 
 import pytest
@@ -173,6 +174,28 @@ def test_a_day_without_rows_is_emptied(spark, folder):
     assert rows(spark.table("emptied_days"), "id", "dt") == [(2, "d2")]
 
 
+def test_runs_of_one_day_stage_apart_and_clean_up(spark, warehouse, monkeypatch):
+    """A second run of the day, into other tables, comes in while the first has staged and not yet written."""
+    root, written, removed = warehouse, event_detail.replace_table, []
+    remove = event_detail.Staging.remove
+
+    def other_run_first(store, location):
+        if location.endswith("store-first"):
+            run_detail(spark, root, "2021-02-02", "store-0", "store-second", out="detail-second")
+        written(store, location)
+
+    def noted(stage):
+        assert os.path.exists(stage.location("keys"))
+        remove(stage)
+        removed.append(stage.path)
+
+    monkeypatch.setattr(event_detail, "replace_table", other_run_first)
+    monkeypatch.setattr(event_detail.Staging, "remove", noted)
+    first = run_detail(spark, root, "2021-02-02", "store-0", "store-first", out="detail-first")
+    assert comparable(first) == comparable(read_table(spark, f"{root}/detail-second").where("dt = '2021-02-02'"))
+    assert len(set(removed)) == 2 and not any(map(os.path.exists, removed))
+
+
 def test_append_adds_a_second_copy(spark, warehouse):
     root = warehouse
     for _ in range(2):

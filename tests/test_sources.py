@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,15 @@ def test_staging_uses_the_named_folder(spark):
     assert f"{root}/footfall/run-1/ids/" in df.inputFiles()[0]
 
 
+def test_staged_tables_are_removed_by_run(spark):
+    one, two = Staging(spark, "run-a"), Staging(spark, "run-b")
+    kept = two(spark.range(2), "ids")
+    one(spark.range(3), "ids")
+    one.remove()
+    one.remove()
+    assert not os.path.exists(one.path) and kept.count() == 2
+
+
 def test_staging_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def get(self, key, default):
