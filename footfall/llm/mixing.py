@@ -16,9 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import put_back, set_aside, without
+from footfall.llm.tables import look_up_hot, put_back, set_aside, without
 
-#: Rates are broadcast up to so many sources (some tens of bytes each); beyond, they are joined by a shuffle.
+#: Rates are broadcast up to so many sources (some tens of bytes each); beyond, those of hot sources are, and the others are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
 
 
@@ -55,19 +55,19 @@ def tempered_weights(docs: DataFrame, power: float, source: str = "source") -> D
     return docs.groupBy(F.col(source).alias("source")).agg((F.count("*").cast("double") ** power).alias("weight"))
 
 
-def rates(docs: DataFrame, weights: DataFrame, epochs: float = 1.0, source: str = "source") -> DataFrame:
-    """``_key``, ``rate`` and ``copies`` (rows) of each source of ``docs``.
+def rates(docs: DataFrame, weights: DataFrame, epochs: float = 1.0, source: str = "source") -> tuple[DataFrame, int]:
+    """``_key``, ``rate`` and ``copies`` (rows) of each source of ``docs``, and the number of sources.
 
     ``weights`` (``source``, ``weight``) need not add up to one; they are taken in relation to those of the sources that
     have rows.  A source without a weight, or with a null or negative one, has rate zero; of a source named
-    twice the weights are added.
+    twice the weights are added.  Only three sums over all sources reach the driver.
     """
     sizes = docs.groupBy(_tagged(F.col(source)).alias("_key")).agg(F.count("*").alias("copies"))
     wanted = weights.groupBy(_tagged(F.col("source")).alias("_key")).agg(F.sum(F.greatest(F.col("weight").cast("double"), F.lit(0.0))).alias("_weight"))
     both = sizes.join(wanted, "_key", "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
-    total = both.agg(F.sum("copies").alias("_rows"), F.sum("_weight").alias("_weights"))
-    rate = F.when(F.col("_weights") > 0, epochs * F.col("_rows") * F.col("_weight") / (F.col("_weights") * F.col("copies")))
-    return both.join(F.broadcast(total)).select("_key", F.coalesce(rate, F.lit(0.0)).alias("rate"), "copies")
+    total = both.agg(F.count("*").alias("sources"), F.sum("copies").alias("rows"), F.sum("_weight").alias("weights")).first()
+    share = F.col("_weight") / total["weights"] if total["weights"] else F.lit(0.0)
+    return both.select("_key", (epochs * (total["rows"] or 0) * share / F.col("copies")).alias("rate"), "copies"), total["sources"]
 
 
 def mix(
@@ -80,14 +80,14 @@ def mix(
     document of a source with rate zero gets no copy.
     """
     spark = docs.sparkSession
-    known = rates(docs, weights, epochs, source)
+    known, sources = rates(docs, weights, epochs, source)
     docs, names = set_aside(without(docs, ["copy", "shuffle_key"]))
     source, doc_id, text = names[source], names[doc_id], names[text]
     keyed = docs.withColumn("_key", _tagged(F.col(source)))
-    if known.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        rated = keyed.join(F.broadcast(known.select("_key", "rate")), "_key")
+    if sources <= BROADCAST_SOURCES:
+        rated = keyed.join(F.broadcast(known.drop("copies")), "_key")
     else:
-        rated = keyed.join(known.select("_key", "rate"), "_key")
+        rated = look_up_hot(keyed, known, "_key", "copies")
 
     # Not to be evaluated once more in a filter that the planner derives from the explode.
     @F.pandas_udf("bigint")

@@ -114,3 +114,11 @@ def test_mixing_without_weights(spark):
     docs = spark.createDataFrame([(1, "t", "a")], "doc_id bigint, text string, source string")
     weights = spark.createDataFrame([("b", 1.0), ("a", None), ("a", -2.0)], "source string, weight double")
     assert mixing.mix(docs, weights).collect() == []
+
+
+def test_mixing_is_the_same_beyond_the_broadcast_bound(spark, odd, monkeypatch):
+    docs = spark.read.parquet(f"{odd}/documents.parquet").select("doc_id", "source", "text")
+    weights = mixing.tempered_weights(docs, 0.5)
+    few = mixing.mix(docs, weights, 3.0, seed=1).collect()
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert [r["shuffle_key"] for r in mixing.mix(docs, weights, 3.0, seed=1).collect()] == [r["shuffle_key"] for r in few]
