@@ -34,18 +34,24 @@ SMALL = 1 << 11
 WORDS = 4
 
 
-def fingerprint_of(text: str | None, width: int = SHINGLE_WORDS) -> int:
-    """The fingerprint as a signed 64-bit number: bit set if it is set in over half of the shingle hashes."""
+def shingles_of(text: str | None, width: int) -> list[bytes]:
+    """Every run of ``width`` lowercase words; of a shorter text all its words, of one without words nothing."""
     words = (text or "").encode().lower().split()  # of bytes: A-Z only, and exactly \x20 \x09-\x0D
     if not words:
-        return 0
+        return []
     line = b" ".join(words)
     if len(words) < width:
-        spans = [line]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = [0, *ends[: len(words) - width].tolist()]
-        spans = [line[s:e] for s, e in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)]
+        return [line]
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = [0, *ends[: len(words) - width].tolist()]
+    return [line[s:e] for s, e in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)]
+
+
+def fingerprint_of(text: str | None, width: int = SHINGLE_WORDS) -> int:
+    """The fingerprint as a signed 64-bit number: bit set if it is set in over half of the shingle hashes."""
+    spans = shingles_of(text, width)
+    if not spans:
+        return 0
     digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for at in range(0, len(spans), SLAB):
         hashes = np.array([digest(s, 42) for s in spans[at : at + SLAB]], "<u8")
@@ -179,6 +185,15 @@ def near_duplicates(
     return look_up_hot(prints, classes(prints, stage, radius, tile), "fp", "copies")
 
 
+def lowest_of_each(docs: DataFrame, rooted: DataFrame, stage: Staging, doc_id: str, digest: Column) -> DataFrame:
+    """Of each ``root`` of ``rooted`` (``root``, ``doc_id``, ``_digest``) the row of ``docs`` with the smallest id, then digest."""
+    best = rooted.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_digest")).alias("best"))
+    kept = stage(best.select(F.col("best.doc_id").alias("_kept_id"), F.col("best._digest").alias("_kept_digest")), "kept")
+    keyed = docs.withColumn("_digest", digest)
+    same = F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, "_digest"])
+
+
 def one_of_each(docs: DataFrame, stage: Staging, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each class the document with the smallest id stays.
 
@@ -190,11 +205,7 @@ def one_of_each(docs: DataFrame, stage: Staging, doc_id: str = "doc_id", text: s
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     prints = stage(docs.select(F.col(doc_id).alias("doc_id"), digest.alias("_digest"), fingerprint(F.col(text)).alias("fp")), "prints")
     rooted = look_up_hot(prints, classes(prints, stage), "fp", "copies")
-    best = rooted.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_digest")).alias("best"))
-    kept = stage(best.select(F.col("best.doc_id").alias("_kept_id"), F.col("best._digest").alias("_kept_digest")), "kept")
-    keyed = docs.withColumn("_digest", digest)
-    same = F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, "_digest"]).select(*put_back(names))
+    return lowest_of_each(docs, rooted, stage, doc_id, digest).select(*put_back(names))
 
 
 def hexadecimal(fp: Column) -> Column:
