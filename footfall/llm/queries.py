@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, chat, language, lines, mixing, paragraphs, quality, simhash, urls, warc
+from footfall.llm import bpe, chat, language, lines, mixing, paragraphs, pieces, quality, simhash, urls, warc
 from footfall.llm.tables import held_out, table
 from footfall.sources.staging import Staging
 
@@ -116,16 +116,37 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def public_pieces(path: str | None = None) -> pieces.Model:
+    """The public 32k model, or that of another model file."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.read_model(path)
+
+
 def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out("doc_id", 4, 2).alias("held_out"))
     parser = language.learn(docs.filter("not held_out"))
     return language.identify(docs.drop("lang"), parser).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text with an end id, what they decode to, and how many bytes of the text the pieces cover."""
+    model = public_pieces()
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text")
+    read = pieces.decode(coded, model)
+    covered = F.aggregate(F.zip_with("starts", "ends", lambda s, e: e - s), F.lit(0).cast("bigint"), lambda a, n: a + n)
+    return read.select(
+        "doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), covered.alias("covered_bytes"),
+    )
+
+
 ALL = {
     f.__name__: f
     for f in (
         op1_quality_scores, op2_mixed_sources, op3_fixity_audit, op4_simhash_classes, op5_merkle_fingerprints,
-        op6_line_rules, op7_url_verdicts, op8_chat_formats, op9_byte_bpe, op10_languages,
+        op6_line_rules, op7_url_verdicts, op8_chat_formats, op9_byte_bpe, op10_languages, op12_piece_bpe,
     )
 }
