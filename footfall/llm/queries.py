@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, chat, language, lines, mixing, paragraphs, pieces, quality, simhash, urls, warc
+from footfall.llm import bpe, chat, language, lines, mixing, paragraphs, pieces, quality, simhash, urls, variants, warc
 from footfall.llm.tables import held_out, table
 from footfall.sources.staging import Staging
 
 MIX_POWER, MIX_SEED = 0.5, 20_240_501
 #: Pages whose copy in the replica is damaged or lost, by the remainder of their id.
 DAMAGE_EVERY, CHANGED, LOST = 97, 5, 6
+#: A run of letters in so many loses a letter.
+SLIP_EVERY = 199
 
 HOST_RULES = (
     urls.HostRule("block", "net", "/"),
@@ -131,6 +133,11 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.drop("lang"), parser).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents, some with a planted slip, and the frequent word each rare one is a variant of."""
+    return variants.group_variants(variants.words_with_slips(table(spark, sf_dir, "documents"), SLIP_EVERY), Staging(spark))
+
+
 def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text with an end id, what they decode to, and how many bytes of the text the pieces cover."""
     model = public_pieces()
@@ -147,6 +154,6 @@ ALL = {
     f.__name__: f
     for f in (
         op1_quality_scores, op2_mixed_sources, op3_fixity_audit, op4_simhash_classes, op5_merkle_fingerprints,
-        op6_line_rules, op7_url_verdicts, op8_chat_formats, op9_byte_bpe, op10_languages, op12_piece_bpe,
+        op6_line_rules, op7_url_verdicts, op8_chat_formats, op9_byte_bpe, op10_languages, op11_spelling_variants, op12_piece_bpe,
     )
 }
