@@ -7,12 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions import geohash6, ipv4_to_long, is_not_blank
-from footfall.operators.lookup import look_up
+from footfall.operators.lookup import HOT_SHARE, hot_keys, look_up, look_up_hot, spread
 
-# An IP range is looked up in buckets of 2^shift addresses; it takes the first shift whose bucket is at
-# least a sixteenth of the range, so a range covers at most 17 buckets (256 for the widest).
+# Where ranges hold is worked out in buckets of 2^shift addresses; a range takes the first shift whose bucket is at
+# least a sixteenth of it, so it covers at most 17 buckets (256 for the widest).
 _TIER_SHIFTS = (8, 16, 24)
 _BUCKETS_PER_RANGE = 16
+# Pieces of ranges, and the addresses looked up in them, meet in blocks of 2^16 addresses.
+_BLOCK_SHIFT, _SUPER_SHIFT = 16, 24
+_BLOCKS = 2**16
 
 # Lookup rows that may be broadcast: about 100 bytes each, so some 200 MB at most.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -64,15 +67,16 @@ def _shift() -> Column:
 
 
 def fits_broadcast(dictionary: DataFrame, ranges: DataFrame, limit: int | None = None) -> bool:
-    """Whether both lookup tables, the ranges counted by their buckets, stay below the broadcast bound.
+    """Whether both lookup tables, the ranges counted by the most pieces they can give, stay below the broadcast bound.
 
-    Two counts over the lookup tables; the log is not touched.
+    One job over the lookup tables; the log is not touched.
     """
     limit = MAX_BROADCAST_ROWS if limit is None else limit
-    shifted = ranges.where("lo <= hi").withColumn("_shift", _shift())
-    buckets = F.expr("shiftright(hi, _shift) - shiftright(lo, _shift) + 1")
-    n_buckets = shifted.agg(F.coalesce(F.sum(buckets), F.lit(0))).first()[0]
-    return n_buckets + dictionary.count() <= limit
+    blocks = F.expr(f"shiftright(hi, {_BLOCK_SHIFT}) - shiftright(lo, {_BLOCK_SHIFT}) + 1")
+    counted = ranges.where("lo <= hi").agg(F.lit("r").alias("of"), F.count("*").alias("n"), F.coalesce(F.sum(blocks), F.lit(0)).alias("blocks"))
+    counted = counted.unionByName(dictionary.agg(F.lit("d").alias("of"), F.count("*").alias("n"), F.lit(0).alias("blocks")))
+    sizes = {r["of"]: r for r in counted.collect()}
+    return 2 * sizes["r"]["n"] + min(sizes["r"]["blocks"], _BLOCKS) + sizes["d"]["n"] <= limit
 
 
 def locate_by_position(
@@ -85,21 +89,14 @@ def locate_by_position(
 ) -> DataFrame:
     """Add ``out``: the area struct of the event's geohash, null when the cell is not in the dictionary.
 
-    ``small=True``, after :func:`fits_broadcast`, keeps the log where it is; otherwise Spark chooses, and
-    rows without a cell go past the join, so they cannot crowd one task.
+    ``small=True``, after :func:`fits_broadcast`, keeps the log where it is; otherwise the log is shuffled
+    but for its hot cells, which a sketch finds, and rows without a cell are dealt out evenly.
     """
     places = unique_geohashes(dictionary).withColumnsRenamed({"geohash": "_geohash", "area": out})
     cells = log.withColumn("_geohash", geohash6(latitude, longitude))
     if small:
         return look_up(cells, F.broadcast(places), ["_geohash"]).drop("_geohash")
-    return _look_up_known(cells, places, "_geohash", out).drop("_geohash")
-
-
-def _look_up_known(rows: DataFrame, table: DataFrame, key: str, out: str) -> DataFrame:
-    """:func:`look_up` of the rows with a ``key``; those without get a null ``out`` and do not meet the table."""
-    nothing = F.lit(None).cast(table.schema[out].dataType)
-    known = look_up(rows.where(F.col(key).isNotNull()), table, [key])
-    return known.unionByName(rows.where(F.col(key).isNull()).withColumn(out, nothing))
+    return look_up_hot(cells, places, ["_geohash"]).drop("_geohash")
 
 
 def ip_areas(ranges: DataFrame) -> DataFrame:
@@ -113,6 +110,30 @@ def ip_areas(ranges: DataFrame) -> DataFrame:
     return ranges.select("lo", "hi", area.alias("area"))
 
 
+def flat_ranges(ranges: DataFrame, value: str = "region") -> DataFrame:
+    """``block``, ``lo``, ``hi``, ``value``: pieces that do not overlap and lie in one block each, with the value that holds there.
+
+    Of the ranges that hold an address, the one that starts last counts, of those the shortest, and of equal ranges the
+    one with the largest value.  The winner changes only where a range starts or has just ended, so it is
+    worked out at these points and at the starts of blocks, which are at most 65,536 for 32-bit addresses:
+    each point meets the ranges of its three buckets.  ``n`` ranges give at most ``2 n`` pieces and one a block.
+    """
+    rank = F.struct("lo", (-F.col("hi")).alias("minus_hi"), F.col(value).alias("value"))
+    valid = ranges.where("lo <= hi")
+    buckets = F.expr("explode(sequence(shiftright(lo, _shift), shiftright(hi, _shift)))")
+    placed = valid.withColumn("_shift", _shift()).select("_shift", rank.alias("_range"), buckets.alias("_bucket"))
+    supers = valid.select(F.explode(F.expr(f"sequence(shiftright(lo, {_SUPER_SHIFT}), shiftright(hi, {_SUPER_SHIFT}))")).alias("s")).distinct()
+    inside = 2 ** (_SUPER_SHIFT - _BLOCK_SHIFT) - 1
+    starts = supers.select(F.explode(F.expr(f"transform(sequence(0, {inside}), b -> shiftleft(s, {_SUPER_SHIFT}) + b * {2**_BLOCK_SHIFT})")).alias("at"))
+    points = valid.select(F.explode(F.array("lo", F.col("hi") + 1)).alias("at")).union(starts).distinct()
+    tiers = [F.struct(F.lit(shift).alias("_shift"), F.shiftright("at", shift).alias("_bucket")) for shift in _TIER_SHIFTS]
+    asked = points.select("at", F.inline(F.array(*tiers)))
+    hits = asked.join(placed, ["_shift", "_bucket"], "left").select("at", F.when(F.expr("at between _range.lo and -_range.minus_hi"), F.col("_range")).alias("_range"))
+    winners = hits.groupBy("at").agg(F.max("_range").alias("_range")).withColumn("block", F.shiftright("at", _BLOCK_SHIFT))
+    until = F.coalesce(F.lead("at").over(W.partitionBy("block").orderBy("at")), F.shiftleft(F.col("block") + 1, _BLOCK_SHIFT)) - 1
+    return winners.withColumn("hi", until).where("_range is not null").select("block", F.col("at").alias("lo"), "hi", F.col("_range.value").alias("value"))
+
+
 def locate_by_ip(
     log: DataFrame,
     ranges: DataFrame,
@@ -123,57 +144,38 @@ def locate_by_ip(
 ) -> DataFrame:
     """Add ``out``: the ``value`` of the range ``[lo, hi]`` that holds the address number.
 
-    Where ranges overlap, the one that starts last holds, of those the shortest, and of equal ranges the
-    one with the largest value, so every row stays one row.
+    Where ranges overlap, :func:`flat_ranges` says which one holds, so every row stays one row.
 
-    A range join is turned into equi-joins on address buckets; the bucket width follows the width of the
-    range, in three tiers.  So a range is repeated 17 times at most (256 for those of 2^20 addresses and
-    more), and of ranges that do not overlap an address meets at most 256 narrow, 18 middle and 18 wide
-    ones.  ``small=True``, after :func:`fits_broadcast`, keeps the log where it is: the ranges are
-    broadcast.  Otherwise the distinct addresses of the log are looked up, and the
-    log is joined once to what they found; rows without an address go past that join.
+    ``small=True``, after :func:`fits_broadcast`, keeps the log where it is: the pieces are broadcast and joined by block.
+    Otherwise log and pieces are sorted together, in one exchange of the log, see :func:`_swept`.
     """
-    rank = F.struct("lo", (-F.col("hi")).alias("minus_hi"), F.col(value).alias("value"))
-    buckets = F.expr("explode(sequence(shiftright(lo, _shift), shiftright(hi, _shift)))")
-    placed = ranges.where("lo <= hi").withColumn("_shift", _shift()).select("_shift", rank.alias("_range"), buckets.alias("_bucket"))
-    return _by_buckets(log, placed, ip_number, out) if small else _by_addresses(log, placed, ip_number, out)
-
-
-def _overlap(placed: DataFrame) -> bool:
-    """Whether two ranges of a tier overlap; reads the ranges only."""
-    earlier = W.partitionBy("_shift", "_bucket").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    reach = F.max(-F.col("_range.minus_hi")).over(earlier)
-    return not placed.select(reach.alias("_reach"), "_range.lo").where("_reach >= lo").isEmpty()
-
-
-def _by_buckets(log: DataFrame, placed: DataFrame, ip_number: str, out: str) -> DataFrame:
-    """Without overlaps a plain join, which is compiled; else each bucket is one row, searched as an array."""
-    address, hits, overlap = F.col(ip_number), [], _overlap(placed)
-
-    def holds(r: Column) -> Column:
-        return address.between(r["lo"], -r["minus_hi"])
-
-    for shift in _TIER_SHIFTS:
-        bucket, held = f"_bucket{shift}", f"_ranges{shift}"
-        side = placed.where(F.col("_shift") == shift).select(F.col("_bucket").alias(bucket), F.col("_range").alias(held))
-        same = F.shiftright(address, shift) == F.col(bucket)
-        if overlap:
-            side = side.groupBy(bucket).agg(F.collect_list(held).alias(held))
-            hits.append(F.array_max(F.filter(held, holds)))
-        else:
-            same = same & holds(F.col(held))
-            hits.append(F.col(held))
-        log = log.join(F.broadcast(side), same, "left").drop(bucket)
-    return log.withColumn(out, F.array_max(F.array(*hits))["value"]).drop(*[f"_ranges{shift}" for shift in _TIER_SHIFTS])
-
-
-def _by_addresses(log: DataFrame, placed: DataFrame, ip_number: str, out: str) -> DataFrame:
-    rows = log.withColumn("_address", F.col(ip_number))
-    buckets = [F.struct(F.lit(shift).alias("_shift"), F.shiftright("_address", shift).alias("_bucket")) for shift in _TIER_SHIFTS]
-    asked = rows.where("_address is not null").select("_address").distinct().select("_address", F.inline(F.array(*buckets)))
-    hits = asked.join(placed, ["_shift", "_bucket"]).where("_address between _range.lo and -_range.minus_hi")
-    found = hits.groupBy("_address").agg(F.max("_range").alias("_range")).select("_address", F.col("_range.value").alias(out))
-    return _look_up_known(rows, found, "_address", out).drop("_address")
+    pieces = flat_ranges(ranges, value)
+    if not small:
+        return _swept(log, pieces, ip_number, out)
+    held = F.broadcast(pieces.select(F.col("block").alias("_block"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("value").alias(out)))
+    address = F.col(ip_number)
+    same = (F.shiftright(address, _BLOCK_SHIFT) == F.col("_block")) & address.between(F.col("_lo"), F.col("_hi"))
+    return log.join(held, same, "left").drop("_block", "_lo", "_hi")
+
+
+def _swept(log: DataFrame, pieces: DataFrame, ip_number: str, out: str) -> DataFrame:
+    """Addresses and starts of pieces in one order by block: the last piece that started holds an address, if it reaches it.
+
+    Pieces end with their block, so nothing is handed on from one block to the next.  A block with a large share of the
+    rows, found by a sketch over the addresses, is dealt over as many parts as it has shares; its pieces, at
+    most one an address, go to each part.  Rows without an address are dealt out by their digest.
+    """
+    rows = log.withColumn("_address", F.col(ip_number).cast("bigint")).withColumn("_block", F.shiftright("_address", _BLOCK_SHIFT))
+    hot = hot_keys(rows.select("_block"), F.col("_block")).select(F.col("item").alias("_block"), F.ceil(F.col("share") * HOT_SHARE).cast("int").alias("_parts"))
+    hot = F.broadcast(hot)
+    dealt = F.when(F.col("_address").isNull(), spread(log)).otherwise(F.pmod(spread(log), F.coalesce("_parts", F.lit(1))))
+    asked = rows.join(hot, "_block", "left").withColumn("_part", dealt).drop("_parts")
+    starts = pieces.select(F.col("block").alias("_block"), F.col("lo").alias("_address"), F.struct("hi", "value").alias("_piece"))
+    starts = starts.join(hot, "_block", "left").withColumn("_part", F.explode(F.expr("sequence(0L, coalesce(_parts, 1) - 1L)"))).drop("_parts")
+    both = asked.withColumn("_asked", F.lit(True)).unionByName(starts, allowMissingColumns=True)
+    order = W.partitionBy("_block", "_part").orderBy("_address", F.col("_asked").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    found = both.withColumn("_last", F.last("_piece", ignorenulls=True).over(order)).where("_asked")
+    return found.withColumn(out, F.when(F.col("_address") <= F.col("_last.hi"), F.col("_last.value"))).select(*[f"`{c}`" for c in log.columns if c != out], out)
 
 
 def locate_events(

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions import blank_to_null
-from footfall.operators.lookup import look_up
+from footfall.operators.lookup import look_up_hot
 
 POINTS_PER_SESSION = 100
 DECAY = "0.6"
@@ -88,7 +88,7 @@ def best_accounts(scores: DataFrame) -> DataFrame:
 
 
 def fill_accounts(log: DataFrame, scores: DataFrame, out: str = "filledAccount") -> DataFrame:
-    """Add ``out``: the row's own account, else the best account of its device."""
+    """Add ``out``: the row's own account, else the best account of its device; a device may have any share of the rows."""
     best = best_accounts(scores).withColumnRenamed("account", "_best_account")
-    filled = look_up(log.drop(out), best, ["deviceid"])
+    filled = look_up_hot(log.drop(out), best, ["deviceid"])
     return filled.withColumn(out, F.coalesce("account", "_best_account")).drop("_best_account")

@@ -23,6 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.lookup import look_up_hot
 from footfall.operators.ordering import dense_numbers, running_count
 
 ACCOUNT, DEVICE, COUNTER = "A", "D", "C"
@@ -127,21 +128,14 @@ def assign_guids(
 ) -> DataFrame:
     """Every event with its ``guid``: by account when it has one, else by the visit it belongs to.
 
-    Both lookups have one row per key, so a busy account or device is split at run time.
+    Both lookups have one row per key; a sketch finds the busy accounts and visits, whose rows need not meet.
     """
     columns = [c for c in events.columns if c.lower() != "guid"]
-    by_account = (
-        events.where(F.col(account).isNotNull())
-        .select(*columns)
-        .join(account_guids(store, visit_ids, account), account, "left")
-        .select(*columns, "guid")
-    )
+    known = events.where(F.col(account).isNotNull()).select(*columns)
+    by_account = look_up_hot(known, account_guids(store, visit_ids, account), [account]).select(*columns, "guid")
     ids = visit_ids.select(device, "visit_no", F.col("guid").alias("_guid"))
-    by_visit = (
-        visits.where(F.col(account).isNull())
-        .join(ids, [device, "visit_no"], "left")
-        .select(*columns, F.col("_guid").alias("guid"))
-    )
+    anonymous = visits.where(F.col(account).isNull()).select(*columns, "visit_no")
+    by_visit = look_up_hot(anonymous, ids, [device, "visit_no"]).select(*columns, F.col("_guid").alias("guid"))
     return by_account.unionByName(by_visit)
 
 

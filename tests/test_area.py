@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from footfall.operators.area import (
     area_dictionary,
     fits_broadcast,
+    flat_ranges,
     flatten_areas,
     locate_by_ip,
     locate_by_position,
@@ -80,7 +82,7 @@ def test_ip_ranges_of_all_widths_against_a_scan(spark, small):
     rng = random.Random(3)
     ranges, lo = [], 0
     while lo < 2**32:
-        hi = min(lo + rng.choice([0, 3, 255, 4095, 4096, 70_000, 2**20 - 1, 2**20, 2**25]) + rng.randrange(3), 2**32 - 1)
+        hi = min(lo + rng.choice([0, 3, 255, 4095, 4096, 70000, 2**20 - 1, 2**20, 2**25]) + rng.randrange(3), 2**32 - 1)
         if rng.random() < 0.8:
             ranges.append((lo, hi, f"r{len(ranges)}"))
         lo = hi + 1
@@ -101,13 +103,56 @@ def test_range_join_is_an_equi_join(spark):
     assert "NestedLoop" not in text and "CartesianProduct" not in text
 
 
-def test_broadcast_bound_counts_the_buckets(spark):
+def test_broadcast_bound_counts_the_pieces(spark):
     dictionary = spark.createDataFrame([("g", "p", "c", "r")], "geohash string, province string, city string, region string")
     ranges = spark.createDataFrame([(0, 255, "one"), (250, 300, "two"), (0, 2**24 + 1, "two"), (0, 2**16, "two")], IP_SCHEMA)
-    assert fits_broadcast(dictionary, ranges, 8) and not fits_broadcast(dictionary, ranges, 7)
+    most = 1 + 2 * 4 + (1 + 1 + 257 + 2)
+    assert flat_ranges(ranges).count() <= most
+    assert fits_broadcast(dictionary, ranges, most) and not fits_broadcast(dictionary, ranges, most - 1)
     assert fits_broadcast(dictionary.limit(0), ranges.limit(0), 0)
     log = spark.range(10).selectExpr("id as i", "id * 1D as latitude", "id * 2D as longitude", "concat('1.1.1.', id) as ip")
-    assert plan(locate_events(log, dictionary, ranges, small=True)).count("BroadcastHashJoin LeftOuter") == 4
+    assert plan(locate_events(log, dictionary, ranges, small=True)).split("\n\n")[0].count("BroadcastHashJoin LeftOuter") == 2
+
+
+def test_pieces_do_not_overlap_and_end_with_their_block(spark):
+    rng = random.Random(3)
+    ranges = [(lo, lo + rng.choice([0, 9, 70000, 2**20, 2**25]), f"r{k}") for k, lo in enumerate(rng.choices(range(0, 2**26, 999), k=80))]
+    pieces = sorted(tuple(r) for r in flat_ranges(spark.createDataFrame(ranges, IP_SCHEMA)).select("lo", "hi", "block", "value").collect())
+    assert all(a[1] < b[0] for a, b in zip(pieces, pieces[1:], strict=False))
+    assert all(lo <= hi and lo >> 16 == hi >> 16 == block for lo, hi, block, _ in pieces)
+
+
+def test_the_log_moves_once_in_a_sweep(spark):
+    """Without broadcasts the only exchange and the only whole scan of the log is that of the sweep."""
+    log = spark.range(1000).selectExpr("id * 70000 as n", "cast(id as string) as wide")
+    ranges = spark.createDataFrame([(0, 255, "one"), (70000, 10**7, "two")], IP_SCHEMA)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        details = plan(locate_by_ip(log, ranges, "n"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "NestedLoop" not in details and "CartesianProduct" not in details
+    exchanges = [part for part in details.split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    assert sum("wide" in part.split("Arguments")[0] for part in exchanges) == 1
+
+
+@pytest.mark.parametrize("hot", ["address", "nothing"])
+def test_a_hot_address_is_spread_in_a_sweep(spark, hot):
+    log = spark.range(0, 60000, 1, 8).selectExpr("id", f"case when id % 3 = 0 then {'5' if hot == 'address' else 'null'} else id * 60000 end as n")
+    ranges = spark.range(0, 400).selectExpr("id * 10000000 as lo", "id * 10000000 + 8000000 as hi", "concat('r', id) as region")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        right = "ip_region <=> if(n % 10000000 <= 8000000, concat('r', n div 10000000), null)"
+        found = locate_by_ip(log, ranges, "n").withColumn("ok", F.expr(right))
+        counted = found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count_if("ok").alias("ok")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["n"] for r in counted) == 60000 == sum(r["ok"] for r in counted) and max(r["n"] for r in counted) < 2 * 60000 / 16
 
 
 @pytest.mark.parametrize("small", [False, True])
@@ -125,21 +170,3 @@ def test_overlapping_ranges_keep_every_row_one_row(spark, small):
         return max(fits)[2] if fits else None
 
     assert rows(got) == ordered([(n, held(n)) for n in numbers])
-
-
-def test_rows_without_a_key_go_past_the_joins(spark):
-    log = spark.createDataFrame([(1.0, 2.0, 5), (None, None, None)], "latitude double, longitude double, n bigint")
-    dictionary = spark.createDataFrame([("g", "p", "c", "r")], "geohash string, province string, city string, region string")
-    ranges = spark.createDataFrame([(0, 255, "one")], IP_SCHEMA)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        by_position, by_ip = locate_by_position(log, dictionary), locate_by_ip(log, ranges, "n")
-        trees = [plan(found).split("\n\n")[0] for found in (by_position, by_ip)]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    for tree in trees:
-        assert "NestedLoop" not in tree and "CartesianProduct" not in tree
-        joined, bare = tree.split("SortMergeJoin LeftOuter")[1].split("\n   +- Project")
-        assert "Filter" in joined.split("Sort")[1] and "Union" in tree and "Join" not in bare and "Exchange" not in bare
-    assert by_position.where("latitude is null").count() == 1 and rows(by_ip, "n", "ip_region") == [(5, "one"), (None, None)]
