@@ -80,17 +80,17 @@ def look_up_hot(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str =
     key = F.when(reduce(Column.__and__, [F.col(c).isNotNull() for c in on]), F.xxhash64(*on))
     hot = hot_keys(rows.select(*on), key)
     found = F.struct(F.lit(True).alias("there"), *values)
-    known = table.select(*on, found.alias("_found"))
-    hot_known = known.join(F.broadcast(hot), F.xxhash64(*on) == F.col("item"), "left_semi").withColumnRenamed("_found", "_hot_found")
+    known = table.select(*on, found.alias("_hit"))
+    hot_known = known.join(F.broadcast(hot), F.xxhash64(*on) == F.col("item"), "left_semi").withColumnRenamed("_hit", "_hot_hit")
     tagged = (
-        rows.withColumn("_key", key)
-        .join(F.broadcast(hot.select(F.col("item").alias("_key"), F.lit(True).alias("_is_hot"))), "_key", "left")
+        rows.withColumn("_hot_key", key)
+        .join(F.broadcast(hot.select(F.col("item").alias("_hot_key"), F.lit(True).alias("_is_hot"))), "_hot_key", "left")
         .join(F.broadcast(hot_known), list(on), "left")
-        .withColumn("_dealt", F.when(F.col("_key").isNull() | F.col("_is_hot"), spread(rows).bitwiseOR(F.lit(1).cast("bigint"))).otherwise(F.lit(0).cast("bigint")))
+        .withColumn("_dealt", F.when(F.col("_hot_key").isNull() | F.col("_is_hot"), spread(rows).bitwiseOR(F.lit(1).cast("bigint"))).otherwise(F.lit(0).cast("bigint")))
     )
     # Always 0, but no constant, which the planner would take out of the keys of the shuffle.
     cold = known.withColumn("_dealt", F.pmod(F.xxhash64(*on), F.lit(1)))
-    joined = tagged.join(cold, [*on, "_dealt"], "left").withColumn("_found", F.coalesce("_hot_found", "_found"))
+    joined = tagged.join(cold, [*on, "_dealt"], "left").withColumn("_hit", F.coalesce("_hot_hit", "_hit"))
     if how == "inner":
-        joined = joined.where("_found.there")
-    return joined.select(*[f"`{c}`" for c in rows.columns], *[F.col(f"_found.`{c}`").alias(c) for c in values])
+        joined = joined.where("_hit.there")
+    return joined.select(*[f"`{c}`" for c in rows.columns], *[F.col(f"_hit.`{c}`").alias(c) for c in values])
