@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, chat, language, lines, mixing, paragraphs, pieces, quality, simhash, urls, variants, warc
+from footfall.llm import bpe, chat, language, lines, mixing, paragraphs, pieces, quality, simhash, trie, urls, variants, warc
 from footfall.llm.tables import held_out, table
 from footfall.sources.staging import Staging
 
@@ -14,6 +14,8 @@ MIX_POWER, MIX_SEED = 0.5, 20_240_501
 DAMAGE_EVERY, CHANGED, LOST = 97, 5, 6
 #: A run of letters in so many loses a letter.
 SLIP_EVERY = 199
+#: A conversation takes its first turns, fewer than so many, from the one whose id is the next lower multiple.
+LENT_TURNS, LENDER_EVERY = 9, 5
 
 HOST_RULES = (
     urls.HostRule("block", "net", "/"),
@@ -150,10 +152,23 @@ def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with turns of another one, so that many share their beginning."""
+    stage = Staging(spark)
+    said = stage(trie.turns(table(spark, sf_dir, "conversations")), "turns")
+    taken = F.crc32(F.col("conv_id").cast("string")) % LENT_TURNS
+    conversations = stage(said.select("conv_id").distinct(), "conversations")
+    lent = said.filter(F.col("pos") < LENT_TURNS).withColumnRenamed("conv_id", "_lender")
+    takers = conversations.withColumn("_lender", F.col("conv_id") - F.col("conv_id") % LENDER_EVERY)
+    first = takers.join(lent, "_lender").filter(F.col("pos") <= taken)
+    rebuilt = first.select("conv_id", "pos", "key", "size").unionByName(said.filter(F.col("pos") > taken))
+    return trie.prefix_trie(rebuilt, conversations, stage)
+
+
 ALL = {
     f.__name__: f
     for f in (
         op1_quality_scores, op2_mixed_sources, op3_fixity_audit, op4_simhash_classes, op5_merkle_fingerprints,
-        op6_line_rules, op7_url_verdicts, op8_chat_formats, op9_byte_bpe, op10_languages, op11_spelling_variants, op12_piece_bpe,
+        op6_line_rules, op7_url_verdicts, op8_chat_formats, op9_byte_bpe, op10_languages, op11_spelling_variants, op12_piece_bpe, op13_prefix_trie,
     )
 }
