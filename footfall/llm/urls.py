@@ -95,12 +95,14 @@ class Hosts:
         self.by_host: dict[str, list[HostRule]] = {}
         for rule in rules:
             self.by_host.setdefault(rule.host, []).append(rule)
+        self.labels = max((h.count(".") + 1 for h in self.by_host), default=0)
 
     def find(self, host: str, path: str) -> HostRule | None:
-        parents, found = [host], []
-        while "." in parents[-1]:
-            parents.append(parents[-1].split(".", 1)[1])
-        for parent in parents:
+        # Only parents with as many labels as some rule has are looked up, however long the host is.
+        labels = host.rsplit(".", self.labels)
+        labels = labels[1:] if len(labels) > self.labels else labels
+        found = []
+        for parent in (".".join(labels[k:]) for k in range(len(labels))):
             found += [r for r in self.by_host.get(parent, ()) if path.startswith(r.path)]
         return max(found, key=lambda r: (len(r.name), r.name), default=None)
 
