@@ -9,22 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, language, minhash, mixing, quality
+from footfall.llm import bpe, language, mixing, quality, simhash
 from footfall.llm.queries import MIX_POWER, MIX_SEED, public_bpe
 from footfall.llm.tables import held_out, put_back, set_aside, table
 from footfall.sources.staging import Staging
 
-#: A text all languages explain almost equally well is in none of them.
-LEAST_LANGUAGE_SCORE = 0.02
-
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; those without letters and the undecided go."""
+    """Documents in one of the learned languages, mixed ones in that of most of their text; only those without text or letters go."""
     parser = language.learn(docs.filter(~held_out("doc_id", 4, 2)))
     named, names = set_aside(docs)
     found = language.identify(named, parser, names["text"])
-    clear = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.filter(clear).select(*put_back(names))
+    return found.filter(F.col("lang_pred") != language.UNDETERMINED).select(*put_back(names))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +32,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates (5-word shingles, similarity 0.8 or more): the one with the smallest id."""
-    return minhash.one_of_each(docs, Staging(spark))
+    """One document of each class of near-duplicates (fingerprints of 4-word shingles at most 4 bits apart): the one with the smallest id."""
+    return simhash.one_of_each(docs, Staging(spark))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
