@@ -4,8 +4,8 @@ A text is first normalised: at every place the longest prefix that the model's c
 replaced, what the map does not know stays, and blanks become the model's space sign.  Each normalised
 character keeps the byte of the text it comes from, so every piece is projected back to the bytes it stands for.
 
-Normalised text is cut before each run of space signs, since no piece goes on from another character into one (a model
-whose pieces do is not cut).  So merges stay inside a cut, and a worker merges each distinct one once.
+Normalised text is cut between every two characters that stand side by side in no piece.  So merges stay inside a cut,
+and a worker merges each distinct one once while it remembers it.
 
 The model file is read by the driver (a vocabulary has a bounded size) and broadcast.
 """
@@ -30,8 +30,8 @@ SPACE = "▁"
 REPLACEMENT = "�"
 #: The kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
-#: Cuts that a worker keeps between texts, and the longest of them in characters.
-KEPT, KEPT_CHARS = 250_000, 64
+#: Cuts in each of the two generations that a worker remembers, and the longest of them in characters.
+KEPT, KEPT_CHARS = 125_000, 64
 #: Ids a worker hands back at a time.
 HANDED = 1 << 20
 NEVER = float("inf")
@@ -151,11 +151,19 @@ class Model:
         self.unknown = self.kinds.index(UNKNOWN)
         self.bytes = {int(p[3:5], 16): k for k, (p, kind) in enumerate(zip(self.pieces, self.kinds, strict=True)) if kind == BYTE}
         self.bos, self.eos = (next((k for k, p in enumerate(self.pieces) if p == name), -1) for name in ("<s>", "</s>"))
-        own = (p for p, kind in zip(self.pieces, self.kinds, strict=True) if kind == NORMAL)
-        inside = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in own)
-        self.cut = re.compile("[^\0]+|\0+" if inside else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.whole = inside
         self.kept: dict[str, bytes] = {}
+        self.kept_before: dict[str, bytes] = {}
+        longer = [p for p in self.ids if len(p) > 1]
+        signs = sorted({c for p in longer for c in p})
+        #: A number for each character of the longer pieces, 0 for others, and whether two of them ever stand side by side.
+        self.numbers = np.zeros(0x110000, np.int32)
+        self.numbers[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        self.width = len(signs) + 1
+        side = np.zeros((self.width, self.width), bool)
+        for piece in longer:
+            at = self.numbers[[ord(c) for c in piece]]
+            side[at[:-1], at[1:]] = True
+        self.side_by_side = side.ravel()
 
     def __reduce__(self):
         return Model, (self.data,)
@@ -293,20 +301,32 @@ class Model:
                 pairs[-1] += len(part)  # unknown neighbours are one piece
             else:
                 pairs += self.unknown, len(part)
-        found = pack(f"={len(pairs)}i", *pairs)
+        return pack(f"={len(pairs)}i", *pairs)
+
+    def _remembered(self, cut: str) -> bytes:
+        """:meth:`coded`, from one of two generations of cuts; the older one goes when the newer one is full."""
+        found = self.kept_before.get(cut) or self.coded(cut)
         if len(cut) <= KEPT_CHARS:
             if len(self.kept) >= KEPT:
-                self.kept.clear()
+                self.kept_before, self.kept = self.kept, {}
             self.kept[cut] = found
         return found
 
+    def cuts(self, plain: str) -> list[str]:
+        """Normalised text in parts that no merge crosses."""
+        if not plain:
+            return []
+        number = self.numbers[np.frombuffer(plain.encode("utf-32-le"), np.uint32)]
+        borders = (np.flatnonzero(~self.side_by_side[number[:-1] * self.width + number[1:]]) + 1).tolist()
+        return [plain[a:b] for a, b in zip([0, *borders], [*borders, len(plain)], strict=True)]
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the pieces of a text, and the first and last (exclusive) byte of the text each one stands for."""
         plain, at = self.normalised(text)
-        cuts = [plain] if self.whole and plain else self.cut.findall(plain)
+        cuts = self.cuts(plain)
         found = list(map(self.kept.get, cuts))
         if None in found:
-            found = [self.kept.get(cut) or self.coded(cut) for cut in cuts]
+            found = [known or self.kept.get(cut) or self._remembered(cut) for known, cut in zip(found, cuts, strict=True)]
         pairs = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2)
         if not self.byte_fallback and len(cuts) > 1:
             pairs = self._joined_unknown(pairs)
