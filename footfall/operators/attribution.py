@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footfall.operators.lookup import look_up
+from footfall.operators.lookup import look_up_hot
 from footfall.operators.ordering import CELL, row_positions, running_count, with_cell
 
 # The coupon attribution job's events and the labels in its result table.
@@ -82,7 +82,8 @@ def linear_weights(
     ``converted_only=True`` leaves them out.
 
     A segment may hold a large share of all rows, so its touchpoints are not joined to its size but, cell
-    by cell, to a summary row of the cell that knows it; only those summary rows meet in one window.
+    by cell, to a summary row of the cell that knows it; only those summary rows meet in one window.  A cell that a
+    burst crowds is found by a sketch and looked up without a shuffle by cell.
     """
     cells = with_cell(segments, ts)
     touches = cells.where(~F.col("is_target"))
@@ -95,7 +96,7 @@ def linear_weights(
     )
     if converted_only:
         sizes = sizes.where("_targets > 0")
-    return look_up(touches, sizes, [user, "segment", CELL], "inner").select(
+    return look_up_hot(touches, sizes, [user, "segment", CELL], "inner").select(
         F.lit(model).alias("model"),
         F.lit(strategy).alias("strategy"),
         user,

@@ -158,6 +158,22 @@ def next_store(store: DataFrame, visit_ids: DataFrame, base: int, device: str =
     return accounts.unionByName(still_open).unionByName(untouched).unionByName(counter)
 
 
+def store_changes(visit_ids: DataFrame, base: int, device: str = "deviceId") -> DataFrame:
+    """What the batch changes in the store: rows with ``kind``, ``k``, ``guid`` and ``_removed``, one per key.
+
+    Bound accounts come in, devices with an open visit come in or change, other devices of the batch go, and the counter
+    moves on.  The store is not read, so this is as long as the batch has visits.
+    """
+    kept = F.lit(False).alias("_removed")
+    accounts = visit_ids.where(F.col("bound_account").isNotNull()).select(F.lit(ACCOUNT).alias("kind"), F.col("bound_account").alias("k"), "guid", kept)
+    still_open = F.max(F.when(F.col("bound_account").isNull(), F.col("guid"))).alias("guid")
+    devices = visit_ids.groupBy(F.col(device).alias("k")).agg(still_open)
+    devices = devices.select(F.lit(DEVICE).alias("kind"), "k", "guid", F.col("guid").isNull().alias("_removed"))
+    counter = visit_ids.agg(F.greatest(F.max("guid"), F.lit(base).cast("bigint")).alias("guid"))
+    counter = counter.select(F.lit(COUNTER).alias("kind"), F.lit(COUNTER_KEY).alias("k"), "guid", kept)
+    return accounts.unionByName(devices).unionByName(counter)
+
+
 def resolve(
     events: DataFrame,
     store: DataFrame,
@@ -166,8 +182,9 @@ def resolve(
     account: str = "filledAccount",
     device: str = "deviceId",
     order: Sequence[str] = ORDER,
+    changes_only: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """``events`` with ``guid`` and ``isnew``, and the next store.
+    """``events`` with ``guid`` and ``isnew``, and the next store, or with ``changes_only`` what changes in it.
 
     Pass narrow events, read from a table.  ``stage`` writes the visits and their guids, which several
     later steps read; each is narrower or shorter than the one before.
@@ -176,4 +193,4 @@ def resolve(
     starts = stage(visit_starts(visits, store, account, device, order), "visit_starts")
     ids = stage(visit_guids(starts, base, device, order), "visit_guids")
     rows = mark_new_visitors(assign_guids(events, visits, ids, store, account, device), base)
-    return rows, next_store(store, ids, base, device)
+    return rows, store_changes(ids, base, device) if changes_only else next_store(store, ids, base, device)

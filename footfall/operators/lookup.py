@@ -33,9 +33,9 @@ def look_up(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "le
 
 
 def hot_keys(rows: DataFrame, key: Column) -> DataFrame:
-    """``item``, ``share``: a superset of the keys that more than one in ``HOT_SHARE`` rows has, fewer than ``HOT_SHARE`` in all.
+    """``item``, ``share``, ``total``: a superset of the keys that more than one in ``HOT_SHARE`` rows has, fewer than ``HOT_SHARE`` in all.
 
-    ``key`` is a bigint expression; null is never hot, and ``share`` is of the rows with a key.  A frequent-items sketch
+    ``key`` is a bigint expression; null is never hot, and ``share`` is of the ``total`` rows with a key.  A frequent-items sketch
     finds them in one pass that shuffles sketches only.  An empty table gives no rows.
     """
     keyed = rows.select(key.alias("key"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("group")).where("key is not null")
@@ -43,7 +43,7 @@ def hot_keys(rows: DataFrame, key: Column) -> DataFrame:
     # Grouped, since sketches of nothing cannot be combined.
     all_ = some.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {_SKETCH_ITEMS})").alias("sketch"), F.sum("n").alias("n"))
     found = all_.select("n", F.explode(F.expr(f"approx_top_k_estimate(sketch, {HOT_SHARE - 1})")).alias("found"))
-    return found.select("found.item", (F.col("found.count") / F.col("n")).alias("share"))
+    return found.select("found.item", (F.col("found.count") / F.col("n")).alias("share"), F.col("n").alias("total"))
 
 
 def spread(rows: DataFrame) -> Column:

@@ -17,7 +17,7 @@ from footfall.operators.binding import SCORE_SCHEMA, fill_accounts
 from footfall.operators.clean import day_window, parse_properties, required_fields, strip_properties
 from footfall.operators.detail import DETAIL_COLUMNS, to_detail
 from footfall.operators.sessions import split_sessions
-from footfall.sources import Staging, append_days, overwrite_day, read_days, read_table, replace_table
+from footfall.sources import KeyedStore, Ledger, Staging, append_days, overwrite_day, read_days, read_table, replace_table
 
 ROW_ID = "event_id"
 PLACE, CONTENT = "_place_in_log", "_content"
@@ -46,9 +46,12 @@ def build(
     keep: tuple[str, ...] = (),
     ties: tuple[str, ...] = (),
     broadcast_rows: int | None = None,
+    changes_only: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Detail rows of ``[from_day, to_day)`` and the next guid store; ``from_day`` may be the column of each row's day.
 
+    With ``changes_only`` the second result is what changes in the store, see :func:`identity.store_changes`.
+
     ``row_id`` is unique per row; ``ties``, then ``row_id``, break ties in time.  Session, account and guid are worked out on
     five narrow columns; the wide rows are shuffled once, by row id, to take the results over.  ``stage``
     writes the narrow results that several later steps read.
@@ -62,7 +65,7 @@ def build(
     keys = stage(fill_accounts(keys, inputs.scores).drop("sessionId", "account"), "keys")
 
     resolved, store = identity.resolve(
-        keys, inputs.store, inputs.base, stage, order=("timeStamp", *ties, row_id)
+        keys, inputs.store, inputs.base, stage, order=("timeStamp", *ties, row_id), changes_only=changes_only
     )
     resolved = resolved.select(row_id, "splitedSessionId", "filledAccount", "guid", "isnew")
 
@@ -153,3 +156,73 @@ def run(
     else:
         overwrite_day(rows, detail, out_day or log_day)
     stage.remove()
+
+
+def guid_store(spark: SparkSession, root: str) -> KeyedStore:
+    """The store of visitor ids below ``root``, in buckets with a delta a day."""
+    return KeyedStore(spark, f"{root.rstrip('/')}/guids", identity.STORE_SCHEMA, ["kind", "k"])
+
+
+def read_published(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """The detail rows of all published days, with ``dt``, and the store that belongs to them."""
+    parts = Ledger(spark, root).read()
+    if not parts:
+        raise ValueError(f"nothing has been published below {root}")
+    days = [spark.read.parquet(place).withColumn("dt", F.lit(day)) for day, place in sorted(parts["detail"].items())]
+    detail = days[0]
+    for rows in days[1:]:
+        detail = detail.unionByName(rows)
+    return detail, guid_store(spark, root).read(at=parts["guids"])
+
+
+def run_published(
+    spark: SparkSession,
+    log: str,
+    dictionary: str,
+    ip_ranges: str,
+    scores: str,
+    root: str,
+    log_day: str,
+    bind_day: str | None = None,
+    zone: str | None = None,
+    row_id: str | None = None,
+    json_properties: bool = False,
+    obsolete: Sequence[str] = (),
+) -> None:
+    """Like :func:`run`, with detail days and guid store below ``root``, published together by one manifest.
+
+    The day's rows and the store's delta are written first, where no reader looks; the manifest that names both comes last.  So
+    a run that fails leaves the former day and the former store readable, and they fit each other.  Days come in order; the last
+    one may be run again, from the store as it was before it.  The first day starts with an empty store and needs no scores.
+    """
+    ledger, store = Ledger(spark, root), guid_store(spark, root)
+    newest = ledger.newest()
+    parts = ledger.read(newest) or {"detail": {}, "guids": None}
+    if parts["detail"] and log_day < max(parts["detail"]):
+        raise ValueError(f"{log_day} comes before the last published day")
+    stage = Staging(spark, f"event-detail-{log_day}-{hashlib.sha256(f'{root} {newest}'.encode()).hexdigest()[:16]}")
+    raw = located_rows(read_days(spark, log, log_day), stage)
+    if json_properties:
+        raw = parse_properties(raw)
+    first = not any(day < log_day for day in parts["detail"])
+    if parts["guids"] is None:
+        known = spark.createDataFrame([], identity.STORE_SCHEMA)
+    else:
+        known = stage(store.read(before=log_day, at=parts["guids"]), "store")
+    inputs = Inputs(
+        dictionary=read_table(spark, dictionary),
+        ip_ranges=read_table(spark, ip_ranges),
+        scores=spark.createDataFrame([], SCORE_SCHEMA) if first else read_days(spark, scores, bind_day or log_day),
+        store=known,
+        base=identity.stored_counter(known),
+    )
+    ties = (row_id, CONTENT) if row_id else (CONTENT,)
+    zone = zone or spark.conf.get("spark.sql.session.timeZone")
+    rows, changes = build(raw, inputs, stage, log_day, zone=zone, row_id=PLACE, ties=ties, changes_only=True)
+    if obsolete:
+        rows = strip_properties(rows, obsolete)
+    place = ledger.write(rows, f"detail/{log_day}")
+    # The store's own manifest moves on, but its readers are told by this one which of them to read.
+    at = store.write_day(log_day, changes, parts["guids"] or 0)
+    ledger.publish({"detail": {**parts["detail"], log_day: place}, "guids": at}, newest)
+    stage.remove()

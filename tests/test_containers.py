@@ -1,0 +1,76 @@
+"""Visitor sets as lists or bitmaps: the same counts as plain bitmaps and as counting, and small where they are sparse."""
+
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.operators import containers, visitors
+from helpers import rows
+
+
+def made_up(spark, n=6000):
+    rng = random.Random(4)
+    ids = [None, 0, 1, 32_767, 32_768, 65_535, 2**40, -1, *(rng.randrange(120_000) for _ in range(3000))]
+    data = [("hot" if rng.random() < 0.7 else f"p{rng.randrange(40)}", rng.choice(["a", "b", None]), rng.choice(ids), rng.randrange(9)) for _ in range(n)]
+    return spark.createDataFrame(data, "place string, kind string, guid bigint, spent bigint")
+
+
+def test_sets_count_like_bitmaps(spark):
+    events = made_up(spark)
+    sets = containers.base_sets(events, ["place", "kind"], measures=["spent"])
+    kinds = sets.select(F.col("uv_set.steps").isNull().alias("full")).distinct().collect()
+    assert {r["full"] for r in kinds} == {True, False}
+    for dims in (["place", "kind"], ["place"], ["kind"], []):
+        expected = rows(events.groupBy(*dims).agg(F.count_distinct("guid"), F.sum("spent")))
+        united = containers.union_sets(sets, dims, ["spent"])
+        assert rows(containers.set_counts(united, dims, ["spent"])) == expected
+        bitmaps = visitors.roll_up(visitors.base_cuboid(events, ["place", "kind"], measures=["spent"]), dims, ["spent"])
+        assert rows(visitors.visitor_counts(bitmaps, dims, ["spent"])) == expected
+
+
+def test_a_union_of_unions(spark):
+    sets = containers.base_sets(made_up(spark), ["place", "kind"])
+    twice = containers.union_sets(containers.union_sets(sets, ["place"]), [])
+    once = containers.union_sets(sets, [])
+    assert rows(twice) == rows(once)
+
+
+@pytest.mark.parametrize("n", [containers.SPARSE_IDS, containers.SPARSE_IDS + 1])
+def test_the_kind_changes_at_the_bound(spark, n):
+    ids = spark.range(n).selectExpr("id * 100 + 1 as guid", "id % 2 as half")
+    assert [r["guid"] for r in ids.limit(3).collect()] == [1, 101, 201]
+    found = containers.base_sets(ids, []).collect()
+    assert [(r["uv_set"]["steps"] is None, r["bucket"]) for r in found] == [(n > containers.SPARSE_IDS, 1)]
+    united = containers.union_sets(containers.base_sets(ids, ["half"]), [])
+    assert [tuple(r) for r in united.collect()] == [tuple(r) for r in found]
+
+
+def test_empty_sets_and_tables(spark):
+    events = spark.createDataFrame([("x", None, 5)], "place string, guid bigint, spent bigint")
+    sets = containers.base_sets(events, ["place"], measures=["spent"])
+    assert rows(containers.set_counts(sets, ["place"], ["spent"])) == [("x", 0, 5)]
+    assert rows(containers.set_counts(containers.union_sets(sets, [], ["spent"]), [], ["spent"])) == [(0, 5)]
+    assert containers.union_sets(containers.base_sets(events.limit(0), ["place"]), []).collect() == []
+
+
+def test_bitmaps_become_sets(spark):
+    events = made_up(spark, 3000)
+    cuboid = visitors.base_cuboid(events, ["place"], measures=["spent"])
+    assert rows(containers.to_sets(cuboid).drop("uv_set")) == rows(cuboid.drop("uv_bitmap"))
+    turned = containers.to_sets(cuboid).select("place", "bucket", "uv_set")
+    assert rows(turned) == rows(containers.base_sets(events, ["place"]).select("place", "bucket", "uv_set"))
+
+
+def test_ten_ids_in_each_of_many_cells(spark, folder):
+    """Stored in under a tenth of 4 KB a cell, with the counts of the events."""
+    cells = 100_000
+    events = spark.range(0, cells * 10, 1, 8).selectExpr("id div 10 as cell", "(id % 10) * 3001 + (id div 10) % 2000 as guid")
+    sets = containers.base_sets(events, ["cell"])
+    sets.write.parquet(f"{folder}/sets")
+    size = sum(f.stat().st_size for f in Path(f"{folder}/sets").glob("*.parquet"))
+    assert size < cells * 4096 / 10
+    stored = spark.read.parquet(f"{folder}/sets")
+    assert rows(containers.set_counts(stored, ["cell"]).groupBy("uv").count()) == [(10, cells)]
+    assert rows(containers.set_counts(containers.union_sets(stored, []), [])) == rows(events.agg(F.count_distinct("guid")))

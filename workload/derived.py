@@ -77,6 +77,19 @@ def attribution_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log(spark, sf_dir).withColumn("guid", F.col("user_id"))
 
 
+#: A third of the rows is one user's, all in one millisecond; their order is that of the event's number.
+BURST = {
+    "user": "case when event_id % 3 = 1 then 7 else user_id end",
+    "ts": "case when event_id % 3 = 1 then 1704067200123 else {ms} end",
+}
+
+
+def burst_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event, a third of them of one user in one millisecond."""
+    columns = {name: F.expr(text.replace("{ms}", SPARK_MS)) for name, text in BURST.items()}
+    return load(spark, sf_dir, "events").select("event_id", columns["user"].alias("guid"), columns["ts"].alias("timeStamp"), F.col("event_type").alias("eventId"))
+
+
 def cube_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with three dimensions and a whole-number measure."""
     return load(spark, sf_dir, "events").selectExpr(
@@ -167,6 +180,7 @@ CHECK_CTES = {
     "event_log": "select "
     + ", ".join(f'{text.replace("{ms}", CHECK_MS)} as "{name}"' for name, text in LOG.items())
     + " from events",
+    "burst": f"select event_id, {BURST['user']} guid, {BURST['ts'].replace('{ms}', CHECK_MS)} ts, event_type from events",
     "guid_store": f"""select distinct 'A' kind, concat('u', user_id) k, user_id + 1 guid from events where user_id % 5 = 0
         union all select distinct 'D', concat('d', {DEVICE_NO}), 999000 + {DEVICE_NO} from events where {DEVICE_NO} % 2 = 0""",
     "areas": """select 1000000000 + r_regionkey id, cast(null as bigint) parentid, 1 "level", r_name areaname,

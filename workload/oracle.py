@@ -123,6 +123,12 @@ SEGMENTS = {
 }
 WEIGHTS = f"""select '优惠券获取归因分析' model, '线性归因' strategy, guid, '{TARGET}' dest_event, event attr_event,
     cast(100 as double) / count(*) over (partition by guid, segment) weight from touches"""
+BURST_SEGMENTS = {
+    "numbered": f"""select guid, event_type event, ts, event_id, coalesce(sum(case when event_type = '{TARGET}' then 1 else 0 end)
+            over (partition by guid order by ts, event_type, event_id rows between unbounded preceding and 1 preceding), 0) segment
+        from burst where event_type in ({EVENT_NAMES})""",
+    "touches": f"select * from numbered where event <> '{TARGET}'",
+}
 
 CUBE = {
     "cube_events": """select event_type devicetype, user_id % 5 province, event_id % 2 isnew, user_id guid,
@@ -280,6 +286,14 @@ def build() -> dict[str, str]:
             """select user_id guid, row_number() over (partition by user_id order by "timeStamp", "eventId" nulls first, event_id) "position",
             "timeStamp", event_id from event_log"""
         ),
+        "burst_positions": with_ctes(
+            """select guid, row_number() over (partition by guid order by ts, event_type, event_id) "position", event_id from burst"""
+        ),
+        "burst_attribution": with_ctes(WEIGHTS, BURST_SEGMENTS),
+        "sparse_cuboid": f"""select l_returnflag, cast(cast(l_shipdate as date) as varchar) "day",
+            {BUCKET.format("l_orderkey")} bucket, count(distinct l_orderkey) n_ids from lineitem group by 1, 2, 3""",
+        "sparse_rollup": "select l_returnflag, count(distinct l_orderkey) n_orders, count(*) lines from lineitem group by 1",
+        "bucketed_guid_store": with_ctes("select kind, k, guid from g_store", own),
         "sql_functions": with_ctes(
             """select "deviceId", trim("deviceId") <> '' has_device, count(distinct geohash) n_cells, count(*) n_events
             from event_log l join event_hash h on l.event_id = h.event_id group by 1, 2"""

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from footfall import functions as fn
 from footfall.functions.days import current_day
 from footfall.functions.sql import register_sql_functions
-from footfall.operators import area, attribution, binding, clean, detail, identity, ordering, protect, sessions, visitors
+from footfall.operators import area, attribution, binding, clean, containers, detail, identity, ordering, protect, sessions, visitors
 from footfall.plans import area_dictionary, column_protection, coupon_attribution, device_binding, event_detail, visitor_cube
-from footfall.sources import Staging, append_days, overwrite_day, overwrite_days, read_days, read_table, replace_table
+from footfall.sources import KeyedStore, Staging, append_days, overwrite_day, overwrite_days, read_days, read_table, replace_table
 from workload import derived as d
 
 TARGET, TOUCHPOINTS = "purchase", ("click", "view", "signup")
@@ -185,6 +185,21 @@ def next_guid_store(spark, sf_dir):
     return _resolved(spark, sf_dir)[1]
 
 
+def bucketed_guid_store(spark, sf_dir):
+    """The next store, from a store in buckets and the delta of the batch: written, written again, folded in and read back."""
+    stage = Staging(spark)
+    store = KeyedStore(spark, stage.location("guids"), identity.STORE_SCHEMA, ["kind", "k"], buckets=16)
+    store.replace(d.guid_store(spark, sf_dir))
+    log = clean.blank_account_to_null(clean_log(spark, sf_dir))
+    rows = log.select("event_id", "timeStamp", "deviceId", F.col("account").alias("filledAccount"))
+    for _ in range(2):
+        known = stage(store.read(before=d.LAST_DAY), "known")
+        _, changes = identity.resolve(stage(rows, "keys"), known, d.GUID_BASE, stage, changes_only=True)
+        store.write_day(d.LAST_DAY, changes)
+    store.compact()
+    return store.read()
+
+
 def dense_numbers(spark, sf_dir):
     log = d.event_log(spark, sf_dir)
     return ordering.dense_numbers(log, ["timeStamp", "event_id"], "number", base=100).select("event_id", "number")
@@ -220,6 +235,17 @@ def linear_attribution_converted(spark, sf_dir):
     return attribution.linear_weights(_segments(spark, sf_dir), TARGET, converted_only=True)
 
 
+def burst_positions(spark, sf_dir):
+    """Places of events of which a third are one user's in one millisecond."""
+    return attribution.ordered_events(d.burst_events(spark, sf_dir), tie=("event_id",)).select("guid", "position", "event_id")
+
+
+def burst_attribution(spark, sf_dir):
+    """Weights of the same events: the burst is cut into segments like any other time."""
+    segments = attribution.event_segments(d.burst_events(spark, sf_dir), TARGET, TOUCHPOINTS, tie=("event_id",))
+    return attribution.linear_weights(segments, TARGET)
+
+
 # --- visitor cube ---------------------------------------------------------------------------------
 
 
@@ -264,6 +290,21 @@ def cube_rollup_twice(spark, sf_dir):
     return visitor_cube.report(by_two, ["devicetype"])
 
 
+def sparse_cuboid(spark, sf_dir):
+    """Sets that are lists where a bitmap would be nearly empty."""
+    lines = d.load(spark, sf_dir, "lineitem")
+    sets = containers.base_sets(lines, ["l_returnflag", "l_shipdate"], "l_orderkey")
+    day = F.col("l_shipdate").cast("date").cast("string").alias("day")
+    return sets.select("l_returnflag", day, "bucket", containers.set_size().alias("n_ids"))
+
+
+def sparse_rollup(spark, sf_dir):
+    """A roll-up of such a stored cuboid: lists and bitmaps are united, and lists that grow become bitmaps."""
+    lines = d.load(spark, sf_dir, "lineitem").withColumn("lines", F.lit(1).cast("bigint"))
+    stored = Staging(spark)(containers.base_sets(lines, ["l_returnflag", "l_suppkey"], "l_orderkey", ["lines"]), "sets")
+    return containers.set_counts(containers.union_sets(stored, ["l_returnflag"], ["lines"]), ["l_returnflag"], ["lines"], out="n_orders")
+
+
 # --- encryption -----------------------------------------------------------------------------------
 
 
@@ -460,5 +501,6 @@ ALL: dict[str, Query] = {
         encrypted_column, decrypted_column, protection_job,
         overwritten_days, emptied_day, appended_days, area_job, binding_job, detail_job, detail_job_repeated, detail_job_repeated_shuffled, detail_job_store,
         attribution_job, cube_job, ordered_events, sql_functions, sql_cube,
+        burst_positions, burst_attribution, sparse_cuboid, sparse_rollup, bucketed_guid_store,
     )
 }
