@@ -79,35 +79,56 @@ def pivots_of(prefix: Sequence[tuple[tuple[int, str], int]], wanted: int = EDITS
     return list(found[1])
 
 
+def marks_of(word: str) -> int:
+    """Parities of the counts of letters (low half) and bigrams (high half), by 32 classes each.
+
+    An edit changes the counts of two letters at most, and takes two bigrams and brings two at most.
+    """
+    marks = 0
+    for letter in word:
+        marks ^= 1 << ord(letter) % 32
+    for first, second in zip(word, word[1:], strict=False):
+        marks ^= 1 << 32 + (ord(first) * 31 + ord(second)) % 32
+    return marks - (1 << 64) if marks >= 1 << 63 else marks
+
+
 def _grams(words: DataFrame, order: dict[str, int]) -> DataFrame:
-    """One row per pivot and per gram of a prefix of each word: ``word``, ``pivot``, ``gram``, ``at``."""
+    """One row per pivot and per gram of a prefix of each word: ``word``, ``pivot``, ``gram``, ``at``, ``marks``."""
     shared = words.sparkSession.sparkContext.broadcast(order)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
             for word in batch["word"]:
-                prefix = prefix_of(word, shared.value)
-                found += [(word, True, gram, at) for gram, at in pivots_of(prefix)]
-                found += [(word, False, gram, at) for (_, gram), at in prefix]
-            yield pd.DataFrame(found, columns=["word", "pivot", "gram", "at"])
+                prefix, marks = prefix_of(word, shared.value), marks_of(word)
+                found += [(word, True, gram, at, marks) for gram, at in pivots_of(prefix)]
+                found += [(word, False, gram, at, marks) for (_, gram), at in prefix]
+            yield pd.DataFrame(found, columns=["word", "pivot", "gram", "at", "marks"])
+
+    return words.select("word").mapInPandas(rows, "word string, pivot boolean, gram string, at int, marks bigint")
+
 
-    return words.select("word").mapInPandas(rows, "word string, pivot boolean, gram string, at int")
+#: How much longer a near word is, and how much further on a gram may stand there that the edit leaves alone.
+STEPS = ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))
 
 
 def near_words(words: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """All pairs ``a``, ``b`` of distinct words of ``words`` (``word``) exactly one edit apart, each in both directions.
 
     One edit is an inserted, deleted or replaced code point.  Words must have at least ``LEAST_CHARS`` code points and
-    come once.  Every pivot asks for prefixes of its gram at nine (length, place) pairs, so a frequent gram is
-    spread over as many keys as words have lengths and places.
+    come once.  Every pivot asks for prefixes with its gram at the five (length, place) pairs that one edit
+    allows, so a frequent gram is spread over as many keys as words have lengths and places.  Parities of letters and bigrams
+    spare most words that are found the whole comparison.
     """
     grams = stage(_grams(words, gram_order(words)).withColumn("size", F.length("word")), "grams")
-    pivots = grams.filter("pivot").select(F.col("word").alias("a"), "gram", "size", "at")
-    steps = F.array(*[F.lit(d) for d in range(-EDITS, EDITS + 1)])
-    prefixes = grams.filter("not pivot").withColumn("d", F.explode(steps)).withColumn("e", F.explode(steps))
-    prefixes = prefixes.select(F.col("word").alias("b"), "gram", (F.col("size") + F.col("d")).alias("size"), (F.col("at") + F.col("e")).alias("at"))
-    found = pivots.join(prefixes, ["gram", "size", "at"]).filter((F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS)).select("a", "b")
+    step = F.explode(F.array(*[F.struct(F.lit(size).alias("size"), F.lit(at).alias("at")) for size, at in STEPS]))
+    pivots = grams.filter("pivot").withColumn("_step", step)
+    pivots = pivots.select(F.col("word").alias("a"), F.col("marks").alias("a_marks"), "gram", (F.col("size") + F.col("_step.size")).alias("size"), (F.col("at") + F.col("_step.at")).alias("at"))
+    prefixes = grams.filter("not pivot").select(F.col("word").alias("b"), F.col("marks").alias("b_marks"), "gram", "size", "at")
+    low = F.lit(0xFFFFFFFF)
+    differ = F.col("a_marks").bitwiseXOR(F.col("b_marks"))
+    alike = (F.bit_count(differ.bitwiseAND(low)) <= 2 * EDITS) & (F.bit_count(F.shiftrightunsigned(differ, 32)) <= 2 * GRAM * EDITS)
+    found = pivots.join(prefixes, ["gram", "size", "at"]).filter(alike & (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS)).select("a", "b")
     return found.union(found.select("b", "a")).distinct()
 
 
