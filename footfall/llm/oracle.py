@@ -1,11 +1,12 @@
 """DuckDB SQL for the queries that SQL can express; the others are compared with brute force in the tests.
 
-No SQL: trained models (op1, op10), XXH64 (op2, op4), splitting with lookbehind into nested digests (op5), merges by rank (op9).
+No SQL: trained models (op1, op10), XXH64 (op2, op4), splitting with lookbehind into nested digests (op5), merges by rank
+(op9) or score (op12).
 """
 
 from __future__ import annotations
 
-from footfall.llm import queries, urls, warc
+from footfall.llm import queries, urls, variants, warc
 from footfall.llm.lines import Limits
 
 
@@ -118,4 +119,69 @@ def _op8() -> str:
     from said group by conv_id"""
 
 
-SQL = {"op3_fixity_audit": _op3(), "op6_line_rules": _op6(), "op7_url_verdicts": _op7(), "op8_chat_formats": _op8()}
+#: A list with the checksum's step for each byte, and the checksum of a text ``of`` by it.
+_STEPS = """select list(c order by i) as t from (
+        select i, list_reduce(list_prepend(i::bigint, [0, 1, 2, 3, 4, 5, 6, 7]::bigint[]),
+            lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) as c from range(256) r(i))"""
+
+
+def _crc32(of: str) -> str:
+    byte = f"list_transform(range(strlen({of})), lambda k: ('0x' || substr(hex(encode({of})), (2 * k + 1)::int, 2))::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {byte}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+
+def _op11() -> str:
+    return f"""
+    with recursive steps as ({_STEPS}),
+    runs as (
+      select doc_id, unnest(string_split_regex(translate(coalesce(text, ''), '{variants.UPPER}', '{variants.LOWER}'), '{variants.NO_LETTERS}')) as run from documents),
+    counted as (select coalesce(doc_id::varchar, '') || ':' || run as named, run, count(*) as n from runs where run <> '' group by 1, 2),
+    summed as (select run, n, {_crc32("named")} as h from counted, steps),
+    slipped as (
+      select case when h % {queries.SLIP_EVERY} = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n from summed),
+    words as (select word, sum(n)::bigint as n from slipped where length(word) >= 6 group by 1 having sum(n) >= 5),
+    shorter as (select word, n, k, substr(word, 1, k::int - 1) || substr(word, k::int + 1) as rest from words, unnest(range(1, length(word) + 1)) u(k)),
+    pairs as (
+      select a.word as a, b.word as b from shorter a join shorter b on a.rest = b.rest and a.k = b.k and a.word <> b.word
+      union select a.word, b.word from shorter a join words b on a.rest = b.word
+      union select b.word, a.word from shorter a join words b on a.rest = b.word),
+    near as (
+      select a, count(*) as n_near, arg_min(b, (-n, b)) as best, max(n) as best_n from pairs join words on word = b group by 1),
+    formed as (
+      select word, n, coalesce(n_near, 0)::bigint as n_near, case when best_n >= 5 * n then best end as form, case when best_n >= 5 * n then best_n end as form_n
+      from words left join near on a = word),
+    walk as (
+      select word, word as ending, form as next from formed
+      union all select w.word, f.word, f.form from walk w join formed f on f.word = w.next)
+    select formed.word, form, ending as root, n, n_near, form_n from formed join walk on walk.word = formed.word and next is null"""
+
+
+def _op13() -> str:
+    turn = "struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))"
+    return f"""
+    with steps as ({_STEPS}),
+    said as (
+      select conv_id, {turn} as s, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''),
+        md5(md5(coalesce(role, '')) || md5(coalesce(text, '')))) as pos from conversations where conv_id is not null),
+    convs as (select conv_id, {_crc32("(conv_id::varchar)")} % {queries.LENT_TURNS} as h from (select distinct conv_id from said), steps),
+    rebuilt as (
+      select c.conv_id, pos, s from convs c join said d on d.conv_id = c.conv_id - c.conv_id % {queries.LENDER_EVERY} and pos <= h
+      union all select c.conv_id, pos, s from convs c join said d on d.conv_id = c.conv_id and pos > h),
+    paths as (select c.conv_id, coalesce(list(s order by pos) filter (pos is not null), []) as p from convs c left join rebuilt using (conv_id) group by 1),
+    prefixes as (select conv_id, p, d, p[1:d] as pre from paths, unnest(range(0, len(p) + 1)) u(d)),
+    nodes as (
+      select pre, d as depth, min(conv_id) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(p) = d), '')) as ends_sha256
+      from prefixes group by 1, 2),
+    children as (select pre[1:depth - 1] as pre, count(*) as n from nodes where depth > 0 group by 1),
+    whole as (select nodes.*, coalesce(children.n, 0) as n_children from nodes left join children using (pre)),
+    below as (
+      select m.pre, count(*) filter (k.n_children = 0) as n_leaves, sum(case when k.depth = 0 then 0 else (k.n_convs - 1) * strlen(k.pre[k.depth].t) end)::bigint as saved_tokens
+      from whole m join whole k on k.depth >= m.depth and k.pre[1:m.depth] = m.pre group by 1)
+    select w.conv_id, w.depth, up.conv_id as parent_conv_id, w.n_convs, w.n_children::bigint as n_children, n_leaves, saved_tokens, w.ends_sha256
+    from whole w join below using (pre) left join whole up on w.depth > 0 and up.pre = w.pre[1:w.depth - 1]"""
+
+
+SQL = {
+    "op3_fixity_audit": _op3(), "op6_line_rules": _op6(), "op7_url_verdicts": _op7(), "op8_chat_formats": _op8(),
+    "op11_spelling_variants": _op11(), "op13_prefix_trie": _op13(),
+}

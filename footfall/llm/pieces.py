@@ -150,6 +150,7 @@ class Model:
         self.cost = {p: -self.scores[k] for p, k in self.ids.items()}
         self.unknown = self.kinds.index(UNKNOWN)
         self.bytes = {int(p[3:5], 16): k for k, (p, kind) in enumerate(zip(self.pieces, self.kinds, strict=True)) if kind == BYTE}
+        self.controls = {k for k, kind in enumerate(self.kinds) if kind == CONTROL}
         self.bos, self.eos = (next((k for k, p in enumerate(self.pieces) if p == name), -1) for name in ("<s>", "</s>"))
         self.kept: dict[str, bytes] = {}
         self.kept_before: dict[str, bytes] = {}
@@ -210,27 +211,22 @@ class Model:
         sign = SPACE if self.escape else " "
         chars: list[str] = []
         starts: list[int] = []
-        after_space, end, first = self.trim, 0, True
+        after_space, end, begun = self.trim, 0, False
         for to, byte, size in self._replaced(text):
-            if after_space:
-                to = to.lstrip(" ")
-            if first and to and self.dummy and not self.space_last:
+            if not begun and self.trim and to == " ":
+                continue
+            if not begun and self.dummy and not self.space_last:
                 chars.append(sign)
                 starts.append(byte)
+            begun = True
+            if after_space:
+                to = to.lstrip(" ")
             if to:
-                first = False
-                chars += to.replace(" ", sign) if self.escape else to
+                chars += to.replace(" ", sign)
                 starts += [byte] * len(to)
-                after_space = to.endswith(" ")
-            elif first and not self.trim:
-                first = False  # a first stretch that vanishes still has the sign before it
-                if self.dummy and not self.space_last:
-                    chars.append(sign)
-                    starts.append(byte)
-            if not self.trim:
-                after_space = False
+                after_space = self.trim and to.endswith(" ")
             end = byte + size
-        if first:
+        if not begun:
             return "", np.zeros(1, np.int64)
         if self.trim:
             while chars and chars[-1] == sign:
@@ -373,10 +369,12 @@ class Model:
                         break
                 elif parts[k]:
                     break
-        try:
-            return b"".join(parts).decode()
-        except UnicodeDecodeError:
-            return self._patched(ids, parts)
+        if self.controls.isdisjoint(ids[1:-1]):  # else one may part bytes that would go together
+            try:
+                return b"".join(parts).decode()
+            except UnicodeDecodeError:
+                pass
+        return self._patched(ids, parts)
 
     def _patched(self, ids: list[int], parts: list[bytes]) -> str:
         text, run = [], b""
