@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions import geohash6, ipv4_to_long, is_not_blank
+from footfall.functions.coordinates import convert
 from footfall.operators.lookup import HOT_SHARE, hot_keys, look_up, look_up_hot, spread
 
 # Where ranges hold is worked out in buckets of 2^shift addresses; a range takes the first shift whose bucket is at
@@ -39,14 +40,17 @@ def flatten_areas(areas: DataFrame) -> DataFrame:
     return found.select("id", "bd09_lat", "bd09_lng", "province", "city", "region")
 
 
-def area_dictionary(areas: DataFrame) -> DataFrame:
+def area_dictionary(areas: DataFrame, system: str = "bd09") -> DataFrame:
     """geohash, province, city, region of every level-4 area.
 
-    The coordinates are taken as they are; the log's positions must use the same coordinate system.
+    The areas' coordinates are of system bd09.  ``system`` is that of the log's positions, ``wgs84`` for those of satellite
+    receivers: the areas are taken over into it before they are hashed.
     """
-    return flatten_areas(areas).select(
-        geohash6("bd09_lat", "bd09_lng").alias("geohash"), "province", "city", "region"
-    )
+    flat = flatten_areas(areas)
+    if system != "bd09":
+        flat = flat.withColumn("_at", convert(F.col("bd09_lat"), F.col("bd09_lng"), "bd09", system))
+        flat = flat.withColumns({"bd09_lat": F.col("_at.lat"), "bd09_lng": F.col("_at.lng")})
+    return flat.select(geohash6("bd09_lat", "bd09_lng").alias("geohash"), "province", "city", "region")
 
 
 def unique_geohashes(dictionary: DataFrame) -> DataFrame:

@@ -72,6 +72,33 @@ def merge_scores(today: DataFrame, before: DataFrame, literal: bool = False) ->
     )
 
 
+def with_account_key(scores: DataFrame) -> DataFrame:
+    """``scores`` with ``account_key``, the account as a text that is never null, so that equal keys are equal accounts."""
+    return scores.withColumn("account_key", F.coalesce(F.concat(F.lit("="), F.col("account")), F.lit("")))
+
+
+def merge_bucketed(today: DataFrame, before: DataFrame) -> DataFrame:
+    """:func:`merge_scores` of two tables with ``account_key`` that are bucketed alike by (deviceid, account_key).
+
+    Equal buckets meet where they are: neither table is shuffled.  A plain comparison of keys takes the place of the null-safe
+    one of accounts, which would hide the buckets from the planner.
+    """
+    t, b = today.alias("t"), before.alias("b")
+    same = (F.col("t.deviceid") == F.col("b.deviceid")) & (F.col("t.account_key") == F.col("b.account_key"))
+    score = (
+        F.when(F.col("t.score").isNull(), F.col("b.score") * F.lit(DECAY).cast("decimal(2,1)"))
+        .when(F.col("b.score").isNull(), F.col("t.score"))
+        .otherwise(F.col("t.score") + F.col("b.score"))
+    )
+    return t.join(b, same, "full").select(
+        F.coalesce("t.deviceid", "b.deviceid").alias("deviceid"),
+        F.coalesce("t.account", "b.account").alias("account"),
+        score.cast(SCORE_TYPE).alias("score"),
+        F.coalesce("t.last_login", "b.last_login").alias("last_login"),
+        F.coalesce("t.account_key", "b.account_key").alias("account_key"),
+    )
+
+
 def best_accounts(scores: DataFrame) -> DataFrame:
     """One account per device: highest score, then latest login, then the smaller account name.
 

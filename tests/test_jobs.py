@@ -230,13 +230,13 @@ def test_days_are_those_of_the_session_unless_named(spark, warehouse):
 def test_area_job_reads_a_database_when_one_is_named(spark, folder, warehouse, monkeypatch):
     asked = {}
 
-    def read(spark, url, table, properties, lower, upper, partitions):
-        asked.update(url=url, table=table, properties=properties, bounds=(lower, upper, partitions))
+    def read(spark, url, table, properties, partitions):
+        asked.update(url=url, table=table, properties=properties, partitions=partitions)
         return read_table(spark, f"{warehouse}/areas")
 
     monkeypatch.setattr(area_dictionary, "read_areas_jdbc", read)
     with open(f"{folder}/connection", "w") as file:
         file.write("user = reader\npassword=a=b\n\n")
-    area_dictionary.run(spark, "areas", f"{folder}/dictionary", url="jdbc:x:y", properties_file=f"{folder}/connection", upper="9", read_partitions="2")
-    assert asked == {"url": "jdbc:x:y", "table": "areas", "properties": {"user": "reader", "password": "a=b"}, "bounds": (0, 9, 2)}
+    area_dictionary.run(spark, "areas", f"{folder}/dictionary", url="jdbc:x:y", properties_file=f"{folder}/connection", read_partitions="2")
+    assert asked == {"url": "jdbc:x:y", "table": "areas", "properties": {"user": "reader", "password": "a=b"}, "partitions": 2}
     assert rows(read_table(spark, f"{folder}/dictionary")) == [("s00000", "P", "C", "R")]

@@ -1,8 +1,9 @@
 import random
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footfall.operators.ordering import dense_numbers, row_positions, running_count
+from footfall.operators.ordering import crowded_cells, dense_numbers, row_positions, running_count, with_cell
 from footfall.operators.sessions import split_sessions
 from helpers import plan, rows
 
@@ -99,3 +100,46 @@ def test_dense_numbers(spark):
     assert got == expected
     all_rows = [r["n"] for r in dense_numbers(df, ["ts", "i"], "n").collect()]
     assert sorted(all_rows) == list(range(1, len(events) + 1))
+
+
+def burst(spark, n=96_000):
+    """A third of the rows is one key's, all in one millisecond, and a third of those has no tie."""
+    return spark.range(0, n, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('k', id % 500)) as key", "if(id % 3 = 0, 77123, id * 997 % 9000000) as ts",
+        "case when id % 9 = 0 then null else sha2(cast(id as string), 256) end as tie", "id % 5 = 0 as flagged", "id",
+    )
+
+
+def test_a_millisecond_with_a_third_of_all_rows_is_split(spark):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        counted = running_count(burst(spark), ["key"], ["ts", "tie", "id"], F.col("flagged"), "n")
+        sizes = sorted(r["count"] for r in counted.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 96_000 and len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+
+
+def test_a_burst_is_counted_like_a_plain_window(spark):
+    log, order = burst(spark, 24_000), ["ts", "tie", "id"]
+    plain = W.partitionBy("key").orderBy(*order)
+    flags = F.col("flagged").cast("bigint")
+    expected = log.select("id", F.coalesce(F.sum(flags).over(plain.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("n"), F.row_number().over(plain).alias("place"))
+    mine = row_positions(running_count(log, ["key"], order, F.col("flagged"), "n"), ["key"], order, "place").select("id", "n", "place")
+    assert mine.exceptAll(expected.selectExpr("id", "n", "cast(place as bigint)")).count() == 0 and mine.count() == 24_000
+    numbered = dense_numbers(log, order, "number", cells_per_block=60)
+    whole = log.select("id", F.row_number().over(W.orderBy(*order)).cast("bigint").alias("number"))
+    assert numbered.select("id", "number").exceptAll(whole).count() == 0
+
+
+def test_only_crowded_cells_are_cut(spark):
+    cells = with_cell(burst(spark), "ts")
+    (found,) = crowded_cells(cells, ["key"], ["ts", "tie", "id"]).collect()
+    assert (found["key"], found["_cell"]) == ("hot", 77) and 40 < len(found["_splitters"]) < 140
+    assert [s["id"] for s in found["_splitters"]] != sorted(s["id"] for s in found["_splitters"])
+    assert crowded_cells(cells.where("key <> 'hot'").limit(300), ["key"], ["ts", "tie", "id"]).where("size(_splitters) > 40").count() == 0
+    assert running_count(burst(spark).limit(0), ["key"], ["ts", "id"], F.lit(True), "n").count() == 0

@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from footfall.sources.scans import id_splits
 from footfall.sources import Staging, append_days, overwrite_days, read_areas_jdbc, read_csv, read_days, read_table, replace_table, staging_root
 from helpers import plan, rows
 
@@ -61,19 +62,32 @@ def test_csv_has_a_given_schema(spark, folder):
     assert views.first()["guid"] == 7 and dict(views.dtypes)["acc_tml"] == "int"
 
 
-def test_jdbc_read_is_partitioned():
-    """No database is started here: only the request that Spark would get is looked at."""
+def test_jdbc_read_is_parted_by_the_ids_that_are_there(spark):
+    """No database is started here: only the requests that Spark would get are looked at."""
+    asked = []
 
     class Reader:
         def jdbc(self, url, table, **options):
-            return url, table, options
+            asked.append((url, table, options))
+            # A thousand ids close together and a few far away.
+            return spark.range(1000).union(spark.range(10**9, 10**9 + 8)) if len(asked) == 1 else "rows"
 
     class Session:
         read = Reader()
 
-    url, table, options = read_areas_jdbc(Session(), "jdbc:x", "area_tree", {"user": "u"}, 1, 100, 8)
-    assert (url, table) == ("jdbc:x", "area_tree")
-    assert options == {"column": "id", "lowerBound": 1, "upperBound": 100, "numPartitions": 8, "properties": {"user": "u"}}
+    assert read_areas_jdbc(Session(), "jdbc:x", "area_tree", {"user": "u"}, 4, sample_every=10) == "rows"
+    sample, whole = asked
+    assert sample == ("jdbc:x", "(select id from area_tree where mod(id, 10) = 0) ids", {"properties": {"user": "u"}})
+    assert whole[:2] == ("jdbc:x", "area_tree") and whole[2]["properties"] == {"user": "u"}
+    assert len(whole[2]["predicates"]) == 4
+
+
+def test_pieces_of_ids_are_even_and_whole(spark):
+    ids = spark.range(2000).selectExpr("case when id = 7 then null when id % 2 = 0 then id div 2 else 10000000 + id * 977 end as id")
+    conditions = id_splits(ids.where("id % 3 = 0"), 8)
+    sizes = [ids.where(c).count() for c in conditions]
+    assert len(sizes) == 8 and sum(sizes) == 2000 and max(sizes) < 2 * 2000 / 8
+    assert id_splits(ids.limit(0), 8) == ["1 = 1"] == id_splits(ids, 1)
 
 
 def test_staging_uses_the_named_folder(spark):
