@@ -1,5 +1,6 @@
 """Near-duplicates, Merkle trees, line rules, urls and chats against brute force."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -98,17 +99,109 @@ def test_one_of_each(spark, stage):
     assert simhash.one_of_each(kept.limit(0), stage).count() == 0
 
 
-def test_fingerprint_likeness(spark):
-    texts = ["One. Two. Three.\nFour.\n\nFive!", "One. Two. Other.\nFour.\n\nFive!", "", None, "nothing alike", "One. Two. Three.\nFour.\n\nFive!"]
+def tree_of(text):
+    """Root, sections, paragraphs and leaves by hand: lists of digests, and how many of the next level each has."""
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    n = paragraphs.FINE
+    pieces = [re.findall(paragraphs.FINE_PATTERN, line[:n]) + re.findall(paragraphs.LEAF_PATTERN, line[n:]) for line in text.split("\n")]
+    assert ["".join(p) for p in pieces] == text.split("\n")
+    leaves = [[md5(leaf) for leaf in p] for p in pieces]
+    lines = [md5("".join(p)) for p in leaves]
+    sections, start = [], 0
+    for k, digest in enumerate(lines):
+        if digest[0] in "0123" or k + 1 == len(lines):
+            sections.append((md5("".join(lines[start : k + 1])), k + 1 - start))
+            start = k + 1
+    root = md5("".join(d for d, _ in sections))
+    return root, [(d[:10], n) for d, n in sections], [(d[:10], len(p)) for d, p in zip(lines, leaves, strict=True)], [d[:6] for p in leaves for d in p]
+
+
+def without_ends(one, two):
+    front = next((k for k, (a, b) in enumerate(zip(one, two, strict=False)) if a != b), min(len(one), len(two)))
+    back = 0
+    while back < min(len(one), len(two)) - front and one[-1 - back] == two[-1 - back]:
+        back += 1
+    return front, back
+
+
+def descended(one, two):
+    """Likeness and the places of changed paragraphs, level by level."""
+    (r1, s1, p1, l1), (r2, s2, p2, l2) = one, two
+    if r1 == r2:
+        return 1.0, ([], [])
+    front, back = without_ends(s1, s2)
+    before = sum(n for _, n in s1[:front])
+    m1, m2 = (p[before : len(p) - sum(n for _, n in s[len(s) - back :])] for s, p in ((s1, p1), (s2, p2)))
+    front, back = without_ends(m1, m2)
+    skipped = before + front
+    rest = [m[front : len(m) - back] for m in (m1, m2)]
+    starts = [sum(n for _, n in p[:skipped]) for p in (p1, p2)]
+    c1, c2 = (leaves[at : at + sum(n for _, n in r)] for leaves, at, r in zip((l1, l2), starts, rest, strict=True))
+    front, back = without_ends(c1, c2)
+    shared = sum((Counter(c1[front : len(c1) - back]) & Counter(c2[front : len(c2) - back])).values())
+    total = len(l1) + len(l2)
+    near = 2 * (len(l1) - len(c1) + front + back + shared) / total if total else 0.0
+    places = []
+    for mine, other in (rest, rest[::-1]):
+        left, found = Counter(d for d, _ in other), []
+        for k, (d, _) in enumerate(mine):
+            left[d] -= 1
+            if left[d] < 0:
+                found.append(skipped + k + 1)
+        places.append(found)
+    return near, (places[0], places[1])
+
+
+def made_up_texts():
+    rng = random.Random(8)
+    words = ["river", "old", "mill", "the", "ran", "quiet,", "years.", "a", "Gärten", "0x3f9c20a1", "12;34;56", "漢字の混じった文章、", "한국어", "\u2028", "🙂"]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randrange(25))) for _ in range(40)]
+    texts = ["", "one line", "x" * 3000, "漢字かな交じり文" * 90, "deadbeef0192" * 200, "\n\n\n"]
+    for _ in range(10):
+        own = [rng.choice(lines) for _ in range(rng.randrange(1, 60))]
+        moved = own[:]
+        rng.shuffle(moved)
+        k = rng.randrange(len(own))
+        texts += ["\n".join(t) for t in (own, moved, own + own[:3], own[:k] + own[k + 1 :], own[:k] + [own[k] + " more"] + own[k + 1 :], own[: k + 1] + [own[k]] + own[k + 1 :])]
+    return texts
+
+
+def test_fingerprints_and_descent_equal_those_by_hand(spark):
+    """Texts of several scripts; lines moved, repeated, dropped and changed; each against the six before and after it."""
+    texts = made_up_texts()
+    trees = [tree_of(t) for t in texts]
     rows = frame(spark, texts).withColumn("fp", paragraphs.fingerprint(F.col("text")))
-    pairs = rows.crossJoin(rows.select(F.col("doc_id").alias("other"), F.col("fp").alias("fp2"))).select(
-        "doc_id", "other", (F.col("fp") == F.col("fp2")).alias("same"), paragraphs.likeness(F.col("fp"), F.col("fp2")).alias("near"),
-        paragraphs.changed_paragraphs(F.col("fp"), F.col("fp2")).alias("changed"),
-    )
-    found = {(r["doc_id"], r["other"]): r for r in pairs.collect()}
-    assert found[0, 5]["same"] and found[0, 5]["near"] == 1.0 and found[0, 5]["changed"] == []
-    assert not found[0, 1]["same"] and 0.5 < found[0, 1]["near"] < 1 and found[0, 1]["changed"] == [1]
-    assert found[2, 3]["same"] and found[0, 4]["near"] == 0.0
+    for r in rows.collect():
+        root, sections, lines, leaves = trees[r["doc_id"]]
+        told = "|".join([root, *(",".join(f"{d}.{n}" for d, n in level) for level in (sections, lines)), ",".join(leaves)])
+        assert r["fp"] == told
+    other = rows.select(F.col("doc_id").alias("other"), F.col("fp").alias("fp2"))
+    pairs = rows.join(other, F.abs(F.col("doc_id") - F.col("other")) <= 6)
+    found = pairs.select("doc_id", "other", paragraphs.likeness(F.col("fp"), F.col("fp2")).alias("near"), paragraphs.changed_paragraphs(F.col("fp"), F.col("fp2")).alias("c"))
+    for r in found.collect():
+        near, (one, two) = descended(trees[r["doc_id"]], trees[r["other"]])
+        assert abs(r["near"] - near) < 1e-12 and (sorted(r["c"]["one"]), sorted(r["c"]["two"])) == (one, two), (r, texts[r["doc_id"]], texts[r["other"]])
+
+
+def test_half_a_text_is_never_unlike(spark):
+    """Scripts with and without blanks, tables and digits: half of each text is left as it is."""
+    kept = ["The river ran past the old mill and on", "漢字かな交じりの文章が続く。" * 5, "8f3a91bc" * 12, "1;22;333\n4;55;666\n7;88;999\n", "한국어 문장이 여기에 있습니다 " * 4, "поля и леса за рекой " * 4]
+    rows = spark.createDataFrame([(k, t + t, t + "#" * len(t)) for k, t in enumerate(kept)], "doc_id bigint, a string, b string")
+    near = rows.select("doc_id", paragraphs.likeness(paragraphs.fingerprint(F.col("a")), paragraphs.fingerprint(F.col("b"))).alias("near"))
+    assert all(r["near"] > 0.2 for r in near.collect())
+
+
+def test_changed_places(spark):
+    texts = ["One.\nTwo.\nTwo.\n\nFive!", "One.\nTwo.\n\nFive!", "One.\nOther.\nTwo.\n\nFive!", None, ""]
+    rows = frame(spark, texts).withColumn("fp", paragraphs.fingerprint(F.col("text")))
+    pairs = rows.crossJoin(rows.select(F.col("doc_id").alias("other"), F.col("fp").alias("fp2")))
+    found = {
+        (r["doc_id"], r["other"]): r
+        for r in pairs.select("doc_id", "other", paragraphs.likeness(F.col("fp"), F.col("fp2")).alias("near"), paragraphs.changed_paragraphs(F.col("fp"), F.col("fp2")).alias("c")).collect()
+    }
+    assert (found[0, 1]["c"]["one"], found[0, 1]["c"]["two"]) == ([3], []) and 0.5 < found[0, 1]["near"] < 1
+    assert (found[0, 2]["c"]["one"], found[0, 2]["c"]["two"]) == ([2], [2])
+    assert found[3, 4]["near"] == found[0, 0]["near"] == 1.0 and found[0, 0]["c"]["one"] == [] and found[0, 4]["near"] == 0.0
 
 
 @pytest.mark.parametrize("ids", [[5], [3, 1, 2], [None, 7, None, 3], [4] * 9, [k * k * 1_000_003 % 99_991 for k in range(3000)]])
