@@ -63,6 +63,11 @@ def _op6() -> str:
     gone as (
       select row, coalesce(sum(length(line)) filter (c.line is not null), 0) / sum(length(line)) as share
       from spread s left join common c using (host, line) group by row),
+    apart as (
+      select row, host, k, raw, trim(regexp_replace(lower(raw), '{blank}+', ' ', 'g'), ' ') as line
+      from (select row, host, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) as k from docs)),
+    cleaned as (
+      select row, coalesce(string_agg(raw, chr(10) order by k) filter (c.line is null), '') as cleaned from apart left join common c using (host, line) group by row),
     base as (
       select w.row, doc_id, len(words) as n_words, length(regexp_replace(text, '{blank}', '', 'g')) as word_chars,
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols, coalesce(n, 0) as n_repeat_words
@@ -71,8 +76,9 @@ def _op6() -> str:
       (len(raw) - len(list_distinct(raw)))::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words,
       n_words < {limits.least_words} or 100 * n_repeat_words > {limits.repeat_percent} * n_words as base_failed,
       coalesce(share, 0)::double as removed_share,
-      not (n_words < {limits.least_words} or 100 * n_repeat_words > {limits.repeat_percent} * n_words) and coalesce(share, 0) <= {limits.depleted} as kept
-    from base join lined using (row, doc_id) left join gone using (row)"""
+      not (n_words < {limits.least_words} or 100 * n_repeat_words > {limits.repeat_percent} * n_words) and coalesce(share, 0) <= {limits.depleted} as kept,
+      sha256(cleaned) as cleaned_sha256
+    from base join lined using (row, doc_id) join cleaned using (row) left join gone using (row)"""
 
 
 def _quoted(text: str) -> str:

@@ -237,6 +237,43 @@ def test_line_rules(spark, stage):
     assert all(found[300 + k]["kept"] for k in range(200))
     assert found[202]["base_failed"] and found[202]["n_repeat_words"] == 300 and not found[200]["kept"] and found[200]["n_words"] == 0
     assert lines.judge(docs.limit(0), stage).count() == 0
+    texts = {r["doc_id"]: r for r in lines.without_boilerplate(docs, stage).collect()}
+    assert all(texts[k]["cleaned"] == texts[k]["text"].split("\n  ALL")[0] for k in range(60))
+    assert texts[100]["cleaned"] == "own0 x" and texts[200]["cleaned"] == "" and texts[203]["cleaned"] == texts[203]["text"]
+    assert set(texts[0].asDict()) == {"doc_id", "text", "source", "Kept", "cleaned", "removed_share"}
+
+
+def lines_by_hand(rows, limits):
+    """Cleaned texts, from counts over distinct (host, text)."""
+    def norm(line):
+        return " ".join(re.sub(r"[\x20\x09\x0B-\x0D]+", " ", line.lower()).split(" ")).strip(" ")
+
+    distinct = {(h, t or "") for _, t, h in rows}
+    counts = Counter((h, x) for h, t in distinct for x in {norm(v) for v in t.split("\n")} if x)
+    sizes = Counter(h for h, _ in distinct)
+    long = lambda x, n: limits.most is not None and n > limits.most and len(x) >= limits.long_chars
+    common = {(h, x) for (h, x), n in counts.items() if n > limits.documents and (n > limits.share * sizes[h] or long(x, n))}
+    return sorted((d, "\n".join(v for v in (t or "").split("\n") if (h, norm(v)) not in common)) for d, t, h in rows)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("most", [None, 30])
+def test_cleaned_texts_equal_those_by_hand(spark, stage, monkeypatch, broadcast, most):
+    if not broadcast:
+        monkeypatch.setattr(lines, "BROADCAST_LINES", 0)
+    chance = random.Random(6)
+    shared = ["Read more", " read\tMORE ", "", "  ", "share   this", "a long line " * 20, "rare " + "x" * 300]
+    rows = []
+    for k in range(400):
+        own = [f"own {chance.randrange(300)} words" for _ in range(chance.randrange(3))]
+        text = own + [chance.choice(shared[:6]) for _ in range(chance.randrange(5))] + ([shared[6]] if k % 8 == 0 else [])
+        chance.shuffle(text)
+        rows.append((k, None if k % 97 == 0 else "\n".join(text), None if k % 5 == 0 else "ab"[k % 7 == 0]))
+    rows += rows[:30] * 3
+    limits = lines.Limits(documents=12, share=0.2, most=most)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = lines.without_boilerplate(docs, stage, limits).select("doc_id", "cleaned").collect()
+    assert sorted(tuple(r) for r in found) == lines_by_hand(rows, limits)
 
 
 def test_repeated_words(spark):
