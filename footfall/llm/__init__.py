@@ -1,7 +1,7 @@
 """Operators of a training-data pipeline over ``documents``, ``pages`` and ``conversations``.
 
 Nothing outside this package imports it.  Functions that run in Python workers are shipped by value, so
-executors need numpy, pyarrow, pandas, regex and xxhash, but no copy of this package.
+executors need numpy, pyarrow, pandas and xxhash, but no copy of this package.
 
 Common to all operators: the columns they read are parameters; a column of the input that has the name
 of a result column (in any case) is replaced by the result; other columns are carried along or not, as

@@ -315,7 +315,10 @@ def in_parts(values: Iterable) -> Iterator[pd.Series]:
 
 
 def encode(docs: DataFrame, bpe: Bpe, text: str = "text", out: str = "token_ids") -> DataFrame:
-    """``docs`` with ``out``, the array of ids of each whole text; null counts as empty and gives no ids."""
+    """``docs`` with ``out``, the array of ids of each whole text; null counts as empty and gives no ids.
+
+    Texts longer than ``SLAB`` are worked off in pieces that end where pre-tokens do; repeated rows get equal ids.
+    """
     docs = without(docs, [out])
     shared = docs.sparkSession.sparkContext.broadcast(bpe)
 

@@ -206,8 +206,9 @@ def identify(docs: DataFrame, parser: Parser | None, text: str = "text") -> Data
     """``docs`` with ``lang_pred`` and ``score``.
 
     A text that is null or has no letters is ``und`` with score 0, and so is every text if nothing was
-    learned.  Equal costs go to the language first in the alphabet, with score 0.  All columns are carried
-    along but those of these two names.
+    learned.  Equal costs go to the language first in the alphabet, with score 0.  A text in several languages is in the one
+    that explains it cheapest.  Very long texts are parsed whole, block by block; repeated rows get equal results.  All columns
+    are carried along but those of these two names.
     """
     docs = without(docs, ["lang_pred", "score"])
     if parser is None:

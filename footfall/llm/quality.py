@@ -222,7 +222,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` with ``score``, the probability of label 1, and ``predicted``, 1 from 0.5 on.
 
-    A null text is an empty one.  Without a model every score is 0.5.  All columns are carried along but those
+    A null text is an empty one.  Very long texts are measured whole; repeated rows get equal scores.  Without a model every score
+    is 0.5.  All columns are carried along but those
     of these two names.
     """
     docs = without(docs, ["score", "predicted"])

@@ -32,17 +32,20 @@ PATTERNS = (
 
 
 def op1_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a model of the labelled ones that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out"))
     labels = table(spark, sf_dir, "labels").filter(~held_out("doc_id", 3, 1))
     return quality.score(docs, quality.learn(docs, labels)).select("doc_id", "held_out", "score", "predicted")
 
 
 def op2_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of all documents in shuffled order, sources weighted by the square root of their size."""
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs, mixing.tempered_weights(docs, MIX_POWER), seed=MIX_SEED)
 
 
 def op3_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the pages' archive that a replica with planted damage has lost or changed."""
     pages, stage = table(spark, sf_dir, "pages"), Staging(spark)
     record = warc.record(F.col("page_id"), F.col("url"), F.col("html"))
     rest = F.coalesce(F.col("page_id") % DAMAGE_EVERY, F.lit(0))
@@ -61,11 +64,13 @@ def op3_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document; classes are linked by fingerprints at most 4 bits apart."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Staging(spark))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are to it and to the next one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     marked = docs.withColumn("fingerprint", paragraphs.fingerprint(F.col("text")))
     following = paragraphs.with_next(marked, ["text", "fingerprint"])
@@ -79,14 +84,17 @@ def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document, once the lines that many texts of its host share are removed."""
     return lines.judge(table(spark, sf_dir, "documents"), Staging(spark))
 
 
 def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and verdict of every page's url."""
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), HOST_RULES, PATTERNS).drop("url")
 
 
 def op8_chat_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read back from the formatted conversations, and from one that holds control strings."""
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = F.lit(r"\### Assistant: </turn> ok")
     own = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), odd.alias("text"))
@@ -111,6 +119,7 @@ def public_bpe(path: str | None = None) -> bpe.Bpe:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the digest of what they decode to."""
     vocabulary = public_bpe()
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
     read = bpe.decode(coded, vocabulary)
@@ -130,6 +139,7 @@ def public_pieces(path: str | None = None) -> pieces.Model:
 
 
 def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by automata of the labelled ones that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out("doc_id", 4, 2).alias("held_out"))
     parser = language.learn(docs.filter("not held_out"))
     return language.identify(docs.drop("lang"), parser).select("doc_id", "held_out", "lang_pred", "score")

@@ -129,8 +129,9 @@ def judge(pages: DataFrame, hosts: Sequence[HostRule], patterns: Sequence[str],
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``.
 
     A host rule decides if one fits, else the patterns do; without any match the verdict is ``allow``.  A null url or one
-    without ``://`` has an empty host and path and fits no host rule, but patterns see it.  All columns are carried along but
-    those of these names.
+    without ``://`` has an empty host and path and fits no host rule, but patterns see it.  Very long urls cost as much as they
+    are long, however many labels their host has; repeated urls get equal verdicts.  All columns are carried along but those of
+    these names.
     """
     index = Index(patterns, word_counts(pages, [w for p in patterns for w in whole_words(p)], url))
     shared = pages.sparkSession.sparkContext.broadcast((Hosts(hosts), index))

@@ -83,7 +83,8 @@ def audit(one: DataFrame, two: DataFrame, stage: Staging, leaf_bytes: int = LEAF
 
     Manifests have ``file``, ``offset`` (from 0), ``length`` (1 or more) and ``digest``.  Status is ``changed``, ``missing``
     (in the second) or ``extra``.  Repeated rows count once; rows without file or offset are left out.  Two
-    records at one offset of a replica are compared as a set.
+    records at one offset of a replica are compared as a set.  Records are known by where they lie: if one replica is shifted
+    by an insertion, all that follows in the file is found changed, missing or extra.
     """
     columns = ["file", "offset", "length", "digest"]
     one, two = (m.select(*columns).dropna(subset=["file", "offset"]).distinct() for m in (one, two))

@@ -67,7 +67,7 @@ def test_empty_tables(spark, empty, name):
 def test_odd_rows(spark, odd, name):
     found = registered()[name](spark, odd).collect()
     tables = odd_tables()
-    if name in ("op1_quality_scores", "op4_simhash_classes", "op5_merkle_fingerprints", "op6_line_rules", "op9_byte_bpe", "op10_languages"):
+    if name in ("op1_quality_scores", "op4_simhash_classes", "op5_merkle_fingerprints", "op6_line_rules", "op9_byte_bpe", "op10_languages", "op12_piece_bpe"):
         key = lambda i: (i is None, i)
         assert sorted((r["doc_id"] for r in found), key=key) == sorted((d[0] for d in tables["documents"]), key=key)
     if name == "op1_quality_scores":
@@ -88,6 +88,16 @@ def test_odd_rows(spark, odd, name):
     if name == "op8_chat_formats":
         assert {(r["conv_id"], r["n_turns"]) for r in found} == {(None, 2), (1, 3), (2, 1), (-7, 2)}
         assert {r["conv_id"]: r["loss_chars"] for r in found}[-7] == len(r"\### Assistant: </turn> ok")
+    if name == "op11_spelling_variants":
+        assert found and all(r["n"] >= 5 and len(r["word"]) >= 6 and (r["form"] is None) == (r["form_n"] is None) for r in found)
+    if name == "op12_piece_bpe":
+        assert {r["n_tokens"] for r in found if r["doc_id"] in (1, 2)} == {1}
+        # Repeated rows and texts have equal ids, and every byte of a text is in one piece.
+        texts = {d[0]: d[1] or "" for d in tables["documents"] if d[0] is not None and d[0] != 5}
+        assert all(r["covered_bytes"] == len(texts[r["doc_id"]].encode()) for r in found if r["doc_id"] in texts)
+    if name == "op13_prefix_trie":
+        (root,) = [r for r in found if r["depth"] == 0]
+        assert (root["conv_id"], root["n_convs"], root["parent_conv_id"]) == (1, 2, None)
     if name == "op10_languages":
         blank = [r for r in found if r["doc_id"] in (1, 2, 3, 4)]
         assert {(r["lang_pred"], r["score"]) for r in blank} == {("und", 0.0)} and {r["lang_pred"] for r in found} <= {"und", "en", "de", "xx"}
