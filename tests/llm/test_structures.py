@@ -325,6 +325,38 @@ def test_url_index_equals_all_rules():
         assert index.verdict(url) == ("block" if hits and not any(hits) else "allow"), url
 
 
+class Counted:
+    """A compiled rule that counts how often it runs."""
+
+    def __init__(self, rule, runs):
+        self.rule, self.runs = rule, runs
+
+    def search(self, text):
+        self.runs[0] += 1
+        return self.rule.search(text)
+
+
+def test_of_thousands_of_rules_few_run_on_a_url():
+    """Rules share frequent words; only those filed under a word of the url run, and the verdicts are those of all rules."""
+    patterns = [f"||ads{k}.example." for k in range(2000)] + [f"/shop/{k}/banner/" for k in range(2000)] + [f"@@/shop/{k}/help/" for k in range(0, 2000, 9)]
+    patterns += [f"?campaign=c{k}&" for k in range(1500)] + [f"/img/a{k}/*.gif|" for k in range(500)]
+    chance = random.Random(9)
+    made = [
+        lambda k: f"http://ads{k}.example.org/x", lambda k: f"https://a.org/shop/{k}/banner/1", lambda k: f"https://a.org/shop/{k}/banner/x/shop/{k}/help/",
+        lambda k: f"http://b.net/?campaign=c{k}&x=1", lambda k: f"http://b.net/img/a{k}/zz.gif", lambda k: f"http://c.net/shop/{k}/toys/",
+    ]
+    found = [chance.choice(made)(chance.randrange(2500)) for _ in range(800)]
+    counts = Counter(w for u in found for w in set(urls.WORD.findall(u)))
+    index, runs = urls.Index(patterns, counts), [0]
+    whole = list(index.rules)
+    index.rules = [(Counted(rule, runs), verdict) for rule, verdict in whole]
+    verdicts = [index.verdict(u) for u in found]
+    always = len(index.always)
+    hits = [{v for rule, v in whole if rule.search(u)} for u in found]
+    assert verdicts == ["block" if h == {"block"} else "allow" for h in hits] and {"block", "allow"} == set(verdicts)
+    assert always == 0 and runs[0] < 4 * len(found) < len(whole) * len(found) / 100
+
+
 def test_urls_of_all_kinds(spark):
     rules = [urls.HostRule("block", "net", "/"), urls.HostRule("allow", "example.net", "/en/")]
     cases = {
