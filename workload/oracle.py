@@ -293,6 +293,8 @@ def build() -> dict[str, str]:
         "sparse_cuboid": f"""select l_returnflag, cast(cast(l_shipdate as date) as varchar) "day",
             {BUCKET.format("l_orderkey")} bucket, count(distinct l_orderkey) n_ids from lineitem group by 1, 2, 3""",
         "sparse_rollup": "select l_returnflag, count(distinct l_orderkey) n_orders, count(*) lines from lineitem group by 1",
+        "merged_scores_bucketed": with_ctes(merged_sql("nullif(account, '')", null_safe, "round(b.score * 0.6, 1)")),
+        "lattice_report": with_ctes(cube_sql("province"), CUBE),
         "bucketed_guid_store": with_ctes("select kind, k, guid from g_store", own),
         "sql_functions": with_ctes(
             """select "deviceId", trim("deviceId") <> '' has_device, count(distinct geohash) n_cells, count(*) n_events

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,9 @@ from footfall import functions as fn
 from footfall.functions.days import current_day
 from footfall.functions.sql import register_sql_functions
 from footfall.operators import area, attribution, binding, clean, containers, detail, identity, ordering, protect, sessions, visitors
+from footfall.operators.lattice import Lattice
 from footfall.plans import area_dictionary, column_protection, coupon_attribution, device_binding, event_detail, visitor_cube
-from footfall.sources import KeyedStore, Staging, append_days, overwrite_day, overwrite_days, read_days, read_table, replace_table
+from footfall.sources import KeyedStore, Staging, append_days, overwrite_day, overwrite_days, read_days, read_table, replace_table, write_bucketed
 from workload import derived as d
 
 TARGET, TOUCHPOINTS = "purchase", ("click", "view", "signup")
@@ -151,6 +153,17 @@ def merged_scores_literal(spark, sf_dir):
     return _merged(spark, sf_dir, literal=True)
 
 
+def merged_scores_bucketed(spark, sf_dir):
+    """The merge of two score tables that are stored in the same buckets, so neither moves."""
+    stage, tables = Staging(spark), []
+    for side, when in (("today", f"dt >= '{d.MIDDLE_DAY}'"), ("before", f"dt < '{d.MIDDLE_DAY}'")):
+        name = f"scores_{side}_{uuid.uuid4().hex}"
+        keyed = binding.with_account_key(_scores(spark, sf_dir, when))
+        tables.append(write_bucketed(keyed, name, device_binding.BUCKET_KEYS, 8, stage.location(side)))
+    merged = binding.merge_bucketed(*tables).drop("account_key")
+    return merged.withColumn("score", F.col("score").cast("double"))
+
+
 def best_accounts(spark, sf_dir):
     return binding.best_accounts(_scores(spark, sf_dir))
 
@@ -305,6 +318,13 @@ def sparse_rollup(spark, sf_dir):
     return containers.set_counts(containers.union_sets(stored, ["l_returnflag"], ["lines"]), ["l_returnflag"], ["lines"], out="n_orders")
 
 
+def lattice_report(spark, sf_dir):
+    """A report from the smallest of three stored cuboids that has its dimension."""
+    cube = Lattice(spark, Staging(spark).location("cube"), CUBE_MEASURES)
+    cube.store(_cuboid(spark, sf_dir), CUBE_DIMS, [["province", "isnew"], ["devicetype"]])
+    return cube.report(["province"])
+
+
 # --- encryption -----------------------------------------------------------------------------------
 
 
@@ -501,6 +521,6 @@ ALL: dict[str, Query] = {
         encrypted_column, decrypted_column, protection_job,
         overwritten_days, emptied_day, appended_days, area_job, binding_job, detail_job, detail_job_repeated, detail_job_repeated_shuffled, detail_job_store,
         attribution_job, cube_job, ordered_events, sql_functions, sql_cube,
-        burst_positions, burst_attribution, sparse_cuboid, sparse_rollup, bucketed_guid_store,
+        burst_positions, burst_attribution, sparse_cuboid, sparse_rollup, bucketed_guid_store, merged_scores_bucketed, lattice_report,
     )
 }
