@@ -26,7 +26,9 @@ from footfall.settings import SPARK_CONF
 JOBS: dict[str, Callable] = {
     "area-dictionary": area_dictionary.run,
     "device-binding": device_binding.run,
+    "device-binding-bucketed": device_binding.run_bucketed,
     "event-detail": event_detail.run,
+    "event-detail-published": event_detail.run_published,
     "attribution": coupon_attribution.run,
     "visitor-cube": visitor_cube.run,
     "protect-column": column_protection.run,
