@@ -31,9 +31,9 @@ LONGEST, FINE, WORD = 64, 96, 12
 _BLOCKS = "".join(f"{chr(k)}-{chr(k + 31)}" for k in range(0x400, 0xD800, 512))
 _EVEN = "bdfhjlnprtvxzBDFHJLNPRTVXZ02468"
 #: Where a leaf ends: at a blank between letters or digits of even code, or after a mark; after a character of ``_BLOCKS``; after three of certain kinds.
-_ENDS = rf"(?<=[{_EVEN}] )(?=[{_EVEN}])|(?<=[.;:!?] )|(?<=[{_BLOCKS}])|(?<=[a-dA-D0-3][i-lI-L6-9][q-tQ-T024])|(?![\s\S])"
+_ENDS = rf"(?<= )(?:(?<=[{_EVEN}] )(?=[{_EVEN}])|(?<=[.;:!?] ))|(?<=[a-dA-D0-3][i-lI-L6-9][q-tQ-T024])|(?<=[\u0400-\ud7ff])(?<=[{_BLOCKS}])"
 LEAF_PATTERN = rf"(?s).{{1,{LONGEST}}}?(?:{_ENDS})|.{{1,{LONGEST}}}"
-FINE_PATTERN = rf"(?s).{{{WORD // 2},{WORD}}}?(?:(?<= )|(?![\s\S]))|.{{1,{WORD}}}"
+FINE_PATTERN = rf"(?s).{{{WORD // 2},{WORD}}}?(?<= )|.{{1,{WORD}}}"
 SHORT, LEAF = 10, 6
 #: Documents in a range of ids that is put in order in one task, and ranges at most.
 RANGE_DOCS = 256
@@ -85,7 +85,8 @@ def fingerprint(text: Column) -> Column:
 
 
 def _level(fingerprint: Column, level: int) -> Column:
-    return F.filter(F.split(F.split_part(fingerprint, F.lit("|"), F.lit(level)), ","), lambda x: x != "")
+    part = F.split_part(fingerprint, F.lit("|"), F.lit(level))
+    return F.when(part == "", F.array().cast("array<string>")).otherwise(F.split(part, ","))
 
 
 def _sum(entries: Column) -> Column:
