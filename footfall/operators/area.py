@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import geohash6, ipv4_to_long, is_not_blank
 from footfall.functions.coordinates import convert
-from footfall.operators.lookup import HOT_SHARE, hot_keys, look_up, look_up_hot, spread
+from footfall.operators.lookup import HOT_SHARE, hot_keys, look_up, look_up_hot, may_crowd, spread
 
 # Where ranges hold is worked out in buckets of 2^shift addresses; a range takes the first shift whose bucket is at
 # least a sixteenth of it, so it covers at most 17 buckets (256 for the widest).
@@ -114,13 +114,14 @@ def ip_areas(ranges: DataFrame) -> DataFrame:
     return ranges.select("lo", "hi", area.alias("area"))
 
 
-def flat_ranges(ranges: DataFrame, value: str = "region") -> DataFrame:
+def flat_ranges(ranges: DataFrame, value: str = "region", small: bool = False) -> DataFrame:
     """``block``, ``lo``, ``hi``, ``value``: pieces that do not overlap and lie in one block each, with the value that holds there.
 
     Of the ranges that hold an address, the one that starts last counts, of those the shortest, and of equal ranges the
     one with the largest value.  The winner changes only where a range starts or has just ended, so it is
     worked out at these points and at the starts of blocks, which are at most 65,536 for 32-bit addresses:
     each point meets the ranges of its three buckets.  ``n`` ranges give at most ``2 n`` pieces and one a block.
+    With ``small`` the ranges are broadcast to the points, which then move once, to their blocks.
     """
     rank = F.struct("lo", (-F.col("hi")).alias("minus_hi"), F.col(value).alias("value"))
     valid = ranges.where("lo <= hi")
@@ -129,11 +130,14 @@ def flat_ranges(ranges: DataFrame, value: str = "region") -> DataFrame:
     supers = valid.select(F.explode(F.expr(f"sequence(shiftright(lo, {_SUPER_SHIFT}), shiftright(hi, {_SUPER_SHIFT}))")).alias("s")).distinct()
     inside = 2 ** (_SUPER_SHIFT - _BLOCK_SHIFT) - 1
     starts = supers.select(F.explode(F.expr(f"transform(sequence(0, {inside}), b -> shiftleft(s, {_SUPER_SHIFT}) + b * {2**_BLOCK_SHIFT})")).alias("at"))
-    points = valid.select(F.explode(F.array("lo", F.col("hi") + 1)).alias("at")).union(starts).distinct()
+    points = valid.select(F.explode(F.array("lo", F.col("hi") + 1)).alias("at")).union(starts).withColumn("block", F.shiftright("at", _BLOCK_SHIFT))
+    # Dealt out by block, points meet their equals, and later their winners each other, without another shuffle.
+    points = points.repartition("block").dropDuplicates(["block", "at"])
     tiers = [F.struct(F.lit(shift).alias("_shift"), F.shiftright("at", shift).alias("_bucket")) for shift in _TIER_SHIFTS]
-    asked = points.select("at", F.inline(F.array(*tiers)))
-    hits = asked.join(placed, ["_shift", "_bucket"], "left").select("at", F.when(F.expr("at between _range.lo and -_range.minus_hi"), F.col("_range")).alias("_range"))
-    winners = hits.groupBy("at").agg(F.max("_range").alias("_range")).withColumn("block", F.shiftright("at", _BLOCK_SHIFT))
+    asked = points.select("block", "at", F.inline(F.array(*tiers)))
+    hits = asked.join(F.broadcast(placed) if small else placed, ["_shift", "_bucket"], "left")
+    hits = hits.select("block", "at", F.when(F.expr("at between _range.lo and -_range.minus_hi"), F.col("_range")).alias("_range"))
+    winners = hits.groupBy("block", "at").agg(F.max("_range").alias("_range"))
     until = F.coalesce(F.lead("at").over(W.partitionBy("block").orderBy("at")), F.shiftleft(F.col("block") + 1, _BLOCK_SHIFT)) - 1
     return winners.withColumn("hi", until).where("_range is not null").select("block", F.col("at").alias("lo"), "hi", F.col("_range.value").alias("value"))
 
@@ -153,7 +157,7 @@ def locate_by_ip(
     ``small=True``, after :func:`fits_broadcast`, keeps the log where it is: the pieces are broadcast and joined by block.
     Otherwise log and pieces are sorted together, in one exchange of the log, see :func:`_swept`.
     """
-    pieces = flat_ranges(ranges, value)
+    pieces = flat_ranges(ranges, value, small)
     if not small:
         return _swept(log, pieces, ip_number, out)
     held = F.broadcast(pieces.select(F.col("block").alias("_block"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("value").alias(out)))
@@ -170,8 +174,8 @@ def _swept(log: DataFrame, pieces: DataFrame, ip_number: str, out: str) -> DataF
     most one an address, go to each part.  Rows without an address are dealt out by their digest.
     """
     rows = log.withColumn("_address", F.col(ip_number).cast("bigint")).withColumn("_block", F.shiftright("_address", _BLOCK_SHIFT))
-    hot = hot_keys(rows.select("_block"), F.col("_block")).select(F.col("item").alias("_block"), F.ceil(F.col("share") * HOT_SHARE).cast("int").alias("_parts"))
-    hot = F.broadcast(hot)
+    hot = hot_keys(rows.select("_block"), F.col("_block")) if may_crowd(log.select(ip_number)) else log.sparkSession.createDataFrame([], "item bigint, share double")
+    hot = F.broadcast(hot.select(F.col("item").alias("_block"), F.ceil(F.col("share") * HOT_SHARE).cast("int").alias("_parts")))
     dealt = F.when(F.col("_address").isNull(), spread(log)).otherwise(F.pmod(spread(log), F.coalesce("_parts", F.lit(1))))
     asked = rows.join(hot, "_block", "left").withColumn("_part", dealt).drop("_parts")
     starts = pieces.select(F.col("block").alias("_block"), F.col("lo").alias("_address"), F.struct("hi", "value").alias("_piece"))

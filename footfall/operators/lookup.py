@@ -13,6 +13,8 @@ from pyspark.sql.types import MapType, VariantType
 HOT_SHARE = 512
 # A sketch of this many entries misses no such key: its error is below a quarter of that share.
 _SKETCH_ITEMS = 10 * HOT_SHARE
+# Below this size, as Spark estimates it before running, a single task can take a key with all rows, and no sketch is made.
+LEAST_BYTES = 64 * 2**20
 # Sketches are merged in two levels, so no task merges those of all tasks.
 _SKETCH_GROUPS = 64
 
@@ -32,6 +34,11 @@ def look_up(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "le
     return rows.join(table.withColumnsRenamed(named), same, how).drop(*named.values())
 
 
+def may_crowd(rows: DataFrame) -> bool:
+    """Whether ``rows`` are so many that one key of them could crowd a task; asks the planner, runs no job."""
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= LEAST_BYTES
+
+
 def hot_keys(rows: DataFrame, key: Column) -> DataFrame:
     """``item``, ``share``, ``total``: a superset of the keys that more than one in ``HOT_SHARE`` rows has, fewer than ``HOT_SHARE`` in all.
 
@@ -69,12 +76,14 @@ def look_up_hot(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str =
     The table's rows of hot keys are broadcast, fewer than ``HOT_SHARE`` of them.  In the shuffle for the other
     keys, rows with a hot key or a null one are dealt out by their own digest and match nothing, so no
     partition holds more than a small share, with adaptive execution or without.  ``rows`` is read twice, once
-    for ``on`` alone.  Rows with a null key find nothing.  ``how`` is ``left`` or ``inner``.
+    for ``on`` alone.  Rows with a null key find nothing.  ``how`` is ``left`` or ``inner``.  Few rows are looked up plainly.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
     if any(rows.select(c).dtypes[0][1] != table.select(c).dtypes[0][1] for c in on):
         raise ValueError("keys of different types have different digests")
+    if not may_crowd(rows.select(*on)):
+        return look_up(rows, table, on, how)
     named = {c.lower() for c in on}
     values = [c for c in table.columns if c.lower() not in named]
     key = F.when(reduce(Column.__and__, [F.col(c).isNotNull() for c in on]), F.xxhash64(*on))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footfall.operators.lookup import hot_keys
+from footfall.operators.lookup import hot_keys, may_crowd
 
 #: A cell is a second, so a burst is split too; a block is an hour of cells.
 CELL_MS = 1_000
@@ -99,16 +99,18 @@ def running_count(
     inclusive: bool = False,
     cell_ms: int = CELL_MS,
     cells_per_block: int | None = None,
-    bursts: bool = True,
+    bursts: bool | None = None,
 ) -> DataFrame:
     """Add ``out``: how many rows with ``flag`` come before the row (or up to it) within ``keys``.
 
     ``order`` starts with a timestamp in milliseconds and should order the rows of a key totally.
     Keys and timestamps must not be null.  Without keys all rows are one sequence.  ``cells_per_block`` adds
     the level of blocks, at the price of two more shuffles of summary rows.  ``bursts=False`` spares the two
-    passes over keys and order that look for crowded cells, where no cell can hold a large share of the rows.
+    passes over keys and order that look for crowded cells, where no cell can hold a large share of the rows; unless
+    told, they are spared where the rows are few.
     """
     cells = with_cell(df, order[0], cell_ms)
+    bursts = may_crowd(cells.select(*keys, *order)) if bursts is None else bursts
     cells = _with_piece(cells, keys, order) if bursts else cells.withColumn(_PIECE, F.lit(0))
     at = [*keys, CELL, _PIECE]
     here = W.partitionBy(*at).orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)

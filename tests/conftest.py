@@ -35,3 +35,11 @@ def spark():
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture
+def sketched(monkeypatch):
+    """Hot keys are looked for however few rows there are."""
+    from footfall.operators import lookup
+
+    monkeypatch.setattr(lookup, "LEAST_BYTES", 0)

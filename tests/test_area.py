@@ -111,7 +111,8 @@ def test_broadcast_bound_counts_the_pieces(spark):
     assert fits_broadcast(dictionary, ranges, most) and not fits_broadcast(dictionary, ranges, most - 1)
     assert fits_broadcast(dictionary.limit(0), ranges.limit(0), 0)
     log = spark.range(10).selectExpr("id as i", "id * 1D as latitude", "id * 2D as longitude", "concat('1.1.1.', id) as ip")
-    assert plan(locate_events(log, dictionary, ranges, small=True)).split("\n\n")[0].count("BroadcastHashJoin LeftOuter") == 2
+    # The log meets positions and pieces; the third join is that of the points with the ranges.
+    assert plan(locate_events(log, dictionary, ranges, small=True)).split("\n\n")[0].count("BroadcastHashJoin LeftOuter") == 3
 
 
 def test_pieces_do_not_overlap_and_end_with_their_block(spark):
@@ -122,7 +123,7 @@ def test_pieces_do_not_overlap_and_end_with_their_block(spark):
     assert all(lo <= hi and lo >> 16 == hi >> 16 == block for lo, hi, block, _ in pieces)
 
 
-def test_the_log_moves_once_in_a_sweep(spark):
+def test_the_log_moves_once_in_a_sweep(spark, sketched):
     """Without broadcasts the only exchange and the only whole scan of the log is that of the sweep."""
     log = spark.range(1000).selectExpr("id * 70000 as n", "cast(id as string) as wide")
     ranges = spark.createDataFrame([(0, 255, "one"), (70000, 10**7, "two")], IP_SCHEMA)
@@ -138,7 +139,7 @@ def test_the_log_moves_once_in_a_sweep(spark):
 
 
 @pytest.mark.parametrize("hot", ["address", "nothing"])
-def test_a_hot_address_is_spread_in_a_sweep(spark, hot):
+def test_a_hot_address_is_spread_in_a_sweep(spark, sketched, hot):
     log = spark.range(0, 60000, 1, 8).selectExpr("id", f"case when id % 3 = 0 then {'5' if hot == 'address' else 'null'} else id * 60000 end as n")
     ranges = spark.range(0, 400).selectExpr("id * 10000000 as lo", "id * 10000000 + 8000000 as hi", "concat('r', id) as region")
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
@@ -156,7 +157,7 @@ def test_a_hot_address_is_spread_in_a_sweep(spark, hot):
 
 
 @pytest.mark.parametrize("small", [False, True])
-def test_overlapping_ranges_keep_every_row_one_row(spark, small):
+def test_overlapping_ranges_keep_every_row_one_row(spark, sketched, small):
     rng = random.Random(5)
     ranges = [(lo, lo + rng.choice([0, 40, 300, 5_000, 2**21]), f"r{k}") for k, lo in enumerate(rng.choices(range(0, 9_000, 50), k=60))]
     ranges += [(*ranges[0][:2], "twin"), (500, 400, "backwards"), (None, 5, "open"), (5, None, "open")]

@@ -51,7 +51,7 @@ def walked(users_events):
 
 
 @pytest.mark.parametrize("seed, span", [(0, 200_000), (1, 200_000), (2, 20_000_000), (3, 900)])
-def test_equals_a_walk_with_one_hot_user(spark, seed, span):
+def test_equals_a_walk_with_one_hot_user(spark, sketched, seed, span):
     """Over minutes, hours, and in a burst shorter than a cell."""
     rng = random.Random(seed)
     users = defaultdict(list)

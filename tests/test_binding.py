@@ -72,7 +72,7 @@ def test_best_account(spark):
     assert "WindowGroupLimit" in plan(best_accounts(scores))
 
 
-def test_fill_accounts_keeps_every_row(spark):
+def test_fill_accounts_keeps_every_row(spark, sketched):
     log = spark.createDataFrame(
         [("d1", None, 1), ("d1", "own", 2), ("d9", None, 3), (None, None, 4)], "deviceId string, account string, i int"
     )

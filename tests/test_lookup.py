@@ -55,7 +55,7 @@ def test_a_hot_device_is_split_at_run_time(spark, small_pieces):
     assert re.search(r"SortMergeJoin\(skew=true\)", plan(filled))
 
 
-def test_look_up_hot_is_look_up(spark):
+def test_look_up_hot_is_look_up(spark, sketched):
     left = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (2, None, 3), (9, "z", 4), (None, None, 5)], "k int, t string, v int")
     table = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (None, None, "n")], "K int, t string, w string")
     assert rows(look_up_hot(left, table, ["k", "t"]), "v", "w") == [(1, "x"), (2, "x"), (3, None), (4, None), (5, None)]
@@ -66,7 +66,7 @@ def test_look_up_hot_is_look_up(spark):
         look_up_hot(left, table.withColumn("K", F.col("K").cast("bigint")), ["k", "t"])
 
 
-def test_look_up_hot_carries_maps_and_null_values(spark):
+def test_look_up_hot_carries_maps_and_null_values(spark, sketched):
     left = spark.range(2000).selectExpr("if(id % 2 = 0, 7, id) as k", "map('a', id) as m", "id")
     table = spark.createDataFrame([(7, None), (9, "y")], "k bigint, w string")
     got = {r["id"]: r["w"] for r in look_up_hot(left, table, ["k"]).collect()}
@@ -83,7 +83,7 @@ def test_hot_keys_misses_none(spark):
 
 
 @pytest.mark.parametrize("lookup", ["accounts", "positions"])
-def test_hot_keys_leave_partitions_even_without_adaptive_execution(spark, lookup):
+def test_hot_keys_leave_partitions_even_without_adaptive_execution(spark, sketched, lookup):
     """A third of the rows has one key and a third none; the most rows of a partition stay near the mean."""
     log = spark.range(0, 96_000, 1, 8).selectExpr(
         "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else concat('d', id % 5000) end as deviceId", "cast(null as string) as account", "id",

@@ -64,7 +64,7 @@ def events_with_hot_key(seed, n=900):
     ]
 
 
-def test_running_count_equals_a_plain_scan(spark):
+def test_running_count_equals_a_plain_scan(spark, sketched):
     for seed in range(3):
         events = events_with_hot_key(seed)
         before, upto, place, counts = {}, {}, {}, {}
@@ -110,7 +110,7 @@ def burst(spark, n=96_000):
     )
 
 
-def test_a_millisecond_with_a_third_of_all_rows_is_split(spark):
+def test_a_millisecond_with_a_third_of_all_rows_is_split(spark, sketched):
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
     before = {k: spark.conf.get(k) for k in settings}
     try:
@@ -124,7 +124,7 @@ def test_a_millisecond_with_a_third_of_all_rows_is_split(spark):
     assert sum(sizes) == 96_000 and len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
 
 
-def test_a_burst_is_counted_like_a_plain_window(spark):
+def test_a_burst_is_counted_like_a_plain_window(spark, sketched):
     log, order = burst(spark, 24_000), ["ts", "tie", "id"]
     plain = W.partitionBy("key").orderBy(*order)
     flags = F.col("flagged").cast("bigint")
