@@ -35,8 +35,12 @@ def look_up(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "le
 
 
 def may_crowd(rows: DataFrame) -> bool:
-    """Whether ``rows`` are so many that one key of them could crowd a task; asks the planner, runs no job."""
-    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= LEAST_BYTES
+    """Whether ``rows`` come from so much data that one key of them could crowd a task; asks the planner, runs no job.
+
+    What is read counts; the planner's estimate of a join is the product of its sides, far more than any lookup gives.
+    """
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())) >= LEAST_BYTES
 
 
 def hot_keys(rows: DataFrame, key: Column) -> DataFrame:
